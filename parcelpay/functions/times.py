@@ -88,5 +88,5 @@ def distinct_days(day: Column) -> Column:
 
     One bit per day of the month merges in the map-side aggregate, so no second DISTINCT is planned.
     """
-    bits = F.bit_or(F.shiftleft(F.lit(1).cast("long"), F.dayofmonth(day)))
+    bits = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.dayofmonth(day)))
     return F.coalesce(F.bit_count(bits), F.lit(0)).cast("long")

@@ -55,11 +55,8 @@ def with_pricing_model(facts: DataFrame, rates: DataFrame, rules: VendorRules) -
     return facts.withColumn("category_model", F.coalesce("_exact", "_both")).drop("_exact", "_both")
 
 
-def vendor_consignments(tables: PayoutTables, rules: VendorRules) -> DataFrame:
-    """Delivered consignments of delivery vendors with eligibility and pricing model.
-
-    Rows may repeat here; each report removes repeats where it shuffles anyway.
-    """
+def read_consignments(tables: PayoutTables, rules: VendorRules) -> DataFrame:
+    """Delivered rows with parsed times, weight as the rules read it, eligibility and match keys."""
     facts = delivered(tables[rules.fact_table])
     weight = F.col("zzcharge_weight")
     if rules.round_weight:
@@ -76,19 +73,24 @@ def vendor_consignments(tables: PayoutTables, rules: VendorRules) -> DataFrame:
         F.upper("dox_type").alias("dox_key"),
         F.upper("product").alias("product_key"),
     )
-    facts = facts.select(
-        "*",
-        F.to_date("delivered_at").alias("delivery_day"),
-        within(F.col("delivered_at"), F.col("handed_over_at"), rules.window_seconds).alias("eligible"),
-    ).withColumn("remarks", F.when(F.col("eligible") == "Yes", "").otherwise(LATE_REMARK))
+    eligible = within(F.col("delivered_at"), F.col("handed_over_at"), rules.window_seconds)
+    return facts.withColumns({"delivery_day": F.to_date("delivered_at"), "eligible": eligible})
+
 
+def vendor_consignments(tables: PayoutTables, rules: VendorRules) -> DataFrame:
+    """Consignments of delivery vendors with eligibility and pricing model.
+
+    Rows may repeat here; each report removes repeats where it shuffles anyway.
+    """
+    facts = read_consignments(tables, rules)
     vendors = tables["ndv_vendor_master"].filter(F.col("vendor_category") == DELIVERY_VENDOR)
     facts = master_join(facts, vendors, "vendor_code", "vendor_code", {"vendor_name": F.col("vendor_name")})
     if rules.require_rate_row:
         # Any rate row of the vendor will do, so a semi join keeps the rows as they are.
         rated = tables["ndv_commercial_master"]
         facts = facts.join(broadcast_within_limit(rated.select("vendor_code").distinct(), rated), "vendor_code", "semi")
-    return with_pricing_model(facts, rates_in_force(tables, rules), rules)
+    facts = with_pricing_model(facts, rates_in_force(tables, rules), rules)
+    return facts.withColumn("remarks", F.when(F.col("eligible") == "Yes", "").otherwise(LATE_REMARK))
 
 
 def _slabs(facts: DataFrame, rates: DataFrame, rules: VendorRules, value: str, upper: Column, exact: bool, prefix: str):
@@ -126,12 +128,14 @@ def price_by_weight(facts: DataFrame, rates: DataFrame, rules: VendorRules) -> D
     return facts.withColumn("commercial", F.round(paid, 2)).drop(*used)
 
 
-def shipment_rank(facts: DataFrame, rules: VendorRules, **split) -> DataFrame:
-    """Distinct consignments with their sequence number `rank` per vendor, delivery, product and eligibility."""
+def shipment_rank(facts: DataFrame, load: DataFrame, rules: VendorRules, **split) -> DataFrame:
+    """Distinct consignments with their sequence number `rank` per vendor, delivery, product and eligibility.
+
+    `load` is the frame before any join; it tells which groups are too large for one task.
+    """
     keys = RANK_KEYS[rules.rank_grain]
-    helpers = ["delivery_day", "dox_key", "product_key"]
-    rows = facts.select(*BASE_COLUMNS, *helpers).distinct()
-    ranked = rank_within(rows, keys, "consignment_number", load=facts.select(*keys), load_keys=keys, **split)
+    rows = facts.select(*BASE_COLUMNS, "delivery_day", "dox_key", "product_key").distinct()
+    ranked = rank_within(rows, keys, "consignment_number", load=load.select(*keys), load_keys=keys, **split)
     return ranked.drop("_part")
 
 

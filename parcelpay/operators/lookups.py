@@ -15,9 +15,10 @@ BROADCAST_LIMIT = 32 * 1024 * 1024
 def size_bound(df: DataFrame) -> int | None:
     """Size in bytes that the optimizer states for a frame, or None where it cannot be asked."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        plan = df._jdf.queryExecution().optimizedPlan()
     except AttributeError:  # a Connect session has no JVM frame
         return None
+    return int(str(plan.stats().sizeInBytes()))
 
 
 def broadcast_within_limit(df: DataFrame, sized_by: DataFrame | None = None) -> DataFrame:

@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcelpay.operators.lookups import size_bound
+
+# Below this stored size of the facts no group can overload a task, so a plain window will do.
+SPLIT_FROM_BYTES = 4 * 1024**3
 # Groups are counted in this many hash slots, which bounds the count's result.
 SLOTS = 1 << 20
 # A slot is hot when it holds more than this share of the rows: at most 8,191 slots can be.
@@ -25,6 +29,7 @@ def rank_within(
     load_keys: Sequence[str],
     out: str = "rank",
     part: str = "_part",
+    split: bool | None = None,
     hot_floor: int = HOT_FLOOR,
     hot_share: float = HOT_SHARE,
     prefix: int = SPLIT_PREFIX,
@@ -36,8 +41,17 @@ def rank_within(
     texts share a prefix, so the sum is the rank over the whole group. Only one row per prefix of a hot group meets in
     one task. When nothing is hot the added side is empty and adaptive execution drops its join.
 
-    Rows come back partitioned by the column `part`, which callers may carry through a distinct to reuse it.
+    `split` forces the split on or off; by default it is on from a stated size of `load` upward. When on, rows come back
+    partitioned by the column `part`, which callers may carry through a distinct to reuse it; when off it is constant.
     """
+    if split is None:
+        size = size_bound(load)
+        split = size is None or size >= SPLIT_FROM_BYTES
+    in_order = F.col(order).asc_nulls_last()
+    if not split:
+        place = F.rank().over(Window.partitionBy(*keys).orderBy(in_order))
+        return df.withColumns({out: place.cast("long"), part: F.lit("")})
+
     slot = F.pmod(F.xxhash64(*load_keys), F.lit(SLOTS))
     counts = load.groupBy(slot.alias("_slot")).agg(F.count(F.lit(1)).alias("_rows"))
     total = counts.agg(F.sum("_rows")).scalar()
@@ -54,7 +68,7 @@ def rank_within(
     packed = marked.select(F.struct(*keys, bucket.alias("_bucket")).alias(part), *others, "_hot")
 
     ranked = packed.withColumn(
-        "_local", F.rank().over(Window.partitionBy(part).orderBy(F.col(order).asc_nulls_last()))
+        "_local", F.rank().over(Window.partitionBy(part).orderBy(in_order))
     ).drop("_hot")
     sizes = packed.filter("_hot").groupBy(part).agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.partitionBy(*[f"{part}.{k}" for k in keys]).orderBy(F.col(f"{part}._bucket").asc_nulls_last())

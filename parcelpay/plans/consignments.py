@@ -21,6 +21,7 @@ from parcelpay.operators.consignments import (
     price_by_rank,
     price_by_weight,
     rates_in_force,
+    read_consignments,
     settle,
     shipment_rank,
     vendor_consignments,
@@ -61,7 +62,8 @@ def _weight_rows(
 def _shipment_rows(tables: PayoutTables, rules: VendorRules, with_time: bool = False) -> DataFrame:
     """Settled rows of the shipment model."""
     facts = vendor_consignments(tables, rules).filter(F.col("category_model") == SHIPMENT)
-    priced = price_by_rank(shipment_rank(facts, rules), rates_in_force(tables, rules), rules)
+    ranked = shipment_rank(facts, read_consignments(tables, rules), rules)
+    priced = price_by_rank(ranked, rates_in_force(tables, rules), rules)
     return _settled(priced, tables, rules, with_time)
 
 

@@ -8,10 +8,11 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelpay.operators import cod, kpi
+from parcelpay.operators import cod, hvdi, kpi, riders
 from parcelpay.operators import consignments as con
+from parcelpay.plans import assignment, biker
 from parcelpay.plans import consignments as vendor
-from parcelpay.rules import VendorRules
+from parcelpay.rules import PAYOUT_LABELS, VendorRules
 from parcelpay.session import tune
 from parcelpay.sources.star import star_tables
 from parcelpay.sources.tables import PayoutTables
@@ -42,7 +43,25 @@ def _shipment_ranks(t: PayoutTables, grain: str) -> DataFrame:
     rules = VendorRules.v2().with_(rank_grain=grain)
     rows = con.vendor_consignments(t, rules).filter(F.col("category_model") == vendor.SHIPMENT)
     columns = ["vendor_code", "consignment_number", "delivered_at", "product", "eligible", "rank"]
-    return con.shipment_rank(rows, rules).select(*columns)
+    return con.shipment_rank(rows, con.read_consignments(t, rules), rules).select(*columns)
+
+
+def _rider_hvdi(t: PayoutTables) -> DataFrame:
+    days = hvdi.rider_hvdi(riders.rider_consignments(t), t["hvdi_incentive"])
+    return days.select(
+        "pc_code", "biker_code", "vendor_category", "delivery_date", "no_of_consignments", "rate",
+        F.col("new_lower_limit").cast("long").alias("new_lower_limit"), "c_slab", "payables",
+    )
+
+
+def _worker_availability(t: PayoutTables) -> DataFrame:
+    keep = {c: F.col(c) for c in ("biker_code", "pc_code")} | {"onboarding_date": F.col("actvtn_date")}
+    rows = riders.assigned(t, riders.workers(t, PAYOUT_LABELS), keep)
+    rows = riders.with_cluster(rows, t, "gpart", {})
+    days = rows.groupBy("biker_code", "pc_code", "onboarding_date", "delivery_date").agg(
+        F.count(F.lit(1)).alias("deliveries")
+    )
+    return riders.with_availability(days)
 
 
 REPORTS: dict[str, Report] = {
@@ -54,6 +73,12 @@ REPORTS: dict[str, Report] = {
     "shipment_detailed": lambda t: vendor.shipment_detailed(t.v1_slabs()),
     "combined_detailed": vendor.combined_detailed,
     "combined_summary": vendor.combined_summary,
+    "biker_con_level": biker.biker_con_level,
+    "biker_detailed": biker.biker_detailed,
+    "biker_summary": biker.biker_summary,
+    "assignment_check": assignment.assignment_check,
+    "rider_hvdi": _rider_hvdi,
+    "worker_availability": _worker_availability,
     "pricing_models": _pricing_models,
     "weight_slab_prices": _weight_slab_prices,
     "shipment_ranks": lambda t: _shipment_ranks(t, "timestamp"),

@@ -2,20 +2,51 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelpay.sources.fixture_sql import SPARK, STAR_TABLES, table_sql, with_clause
+from parcelpay.sources.schemas import SCHEMAS
 from parcelpay.sources.tables import PayoutTables
 
+CHECKPOINT_KEY = "spark.checkpoint.dir"
+_staged: dict[tuple[str, str], PayoutTables] = {}
 
-def star_tables(spark: SparkSession, root: str) -> PayoutTables:
-    """Derive the report inputs from the star-schema files in `root`."""
+
+def derive(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """One report input, derived from the star-schema files in `root`."""
+    if name not in table_sql(SPARK):
+        raise KeyError(name)
     sources = ",\n".join(f"{t} AS (SELECT * FROM parquet.`{root}/{t}.parquet`)" for t in STAR_TABLES)
-    known = table_sql(SPARK)
+    return spark.sql(f"{with_clause(SPARK, [name], extra=sources)}\nSELECT * FROM {name}")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Folder all executors see: the one the session names, or a new temporary one on a single machine."""
+    folder = spark.conf.get(CHECKPOINT_KEY, None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="parcelpay-")
+
+
+def star_tables(spark: SparkSession, root: str) -> PayoutTables:
+    """Report inputs derived from the star-schema files in `root`.
+
+    A table is written on first use and read from its files from then on, as the reports would read a warehouse table:
+    with column pruning, pushed filters and known sizes. It is written once per application.
+    """
+    key = (spark.sparkContext.applicationId, root)
+    if key not in _staged:
+        folder = f"{shared_folder(spark)}/parcelpay-{uuid.uuid4().hex}"
 
-    def derive(name: str) -> DataFrame:
-        if name not in known:
-            raise KeyError(name)
-        return spark.sql(f"{with_clause(SPARK, [name], extra=sources)}\nSELECT * FROM {name}")
+        def staged(name: str) -> DataFrame:
+            path = f"{folder}/{name}"
+            derive(spark, root, name).write.mode("overwrite").parquet(path)
+            return spark.read.schema(SCHEMAS[name]).parquet(path)
 
-    return PayoutTables(derive)
+        _staged[key] = PayoutTables(staged)
+    return _staged[key]
