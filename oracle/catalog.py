@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from oracle import riders, vendor_con
+from oracle import centres, riders, vendor_con
 
-ORACLE_SQL: dict[str, str] = {**vendor_con.texts(), **riders.texts()}
+ORACLE_SQL: dict[str, str] = {**vendor_con.texts(), **riders.texts(), **centres.texts()}

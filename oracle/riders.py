@@ -101,14 +101,18 @@ def availability() -> str:
         {as_long(f"CASE {FULL} WHEN 'Yes' THEN {MONTH_WORK} ELSE {OWN_WORK} END")} AS own_work"""
 
 
-def biker_texts() -> dict[str, str]:
-    con_columns = f"""pc_code, biker_code, {{category}}actvtn_date AS onboarding_date, d AS delivery_date,
+def con_columns(category: str) -> str:
+    return f"""pc_code, biker_code, {category}actvtn_date AS onboarding_date, d AS delivery_date,
         d_at AS delivery_datetime, h_at AS handover_datetime, {months()}, pin AS pincode, 'Express' AS sbu, model,
         w AS charge_weight, con AS consignment, {as_long('seq')} AS rank, {as_double('rate')} AS rate_per_shipment,
         'Commercials' AS payout_type"""
-    by_category = con_columns.format(category="pcc_master AS vendor_category, ")
-    start = [rider_step(), delivery_step()]
-    summary = f"""
+
+
+BY_CATEGORY = "pcc_master AS vendor_category, "
+
+
+def biker_summary_select() -> str:
+    return f"""
         SELECT pc_code, vendor_category, biker_code, onboarding_date, pay_out_month, pay_out_year, model,
                {as_long('days')} AS no_of_days_delivered, {as_long('parcels')} AS total_consignments,
                {as_double('productivity')} AS productivity, {as_long('attendance')} AS attendance,
@@ -127,16 +131,20 @@ def biker_texts() -> dict[str, str]:
                                  model, table_guarantee, own_work, whole, month_work, cm_type,
                                  count(DISTINCT delivery_date) AS days, count(DISTINCT consignment) AS parcels,
                                  sum(rate_per_shipment) AS earned
-                          FROM (SELECT DISTINCT {by_category}, {availability()}, table_guarantee, cm_type FROM rated) l
+                          FROM (SELECT DISTINCT {con_columns(BY_CATEGORY)}, {availability()}, table_guarantee, cm_type FROM rated) l
                           GROUP BY ALL) g) h) i
         UNION
         SELECT pc_code, pcc_master, biker_code, CAST(NULL AS DATE), pay_out_month, pay_out_year, model, 0, 0, 0, 0, 0,
                ' ', 0, 0, {as_double('sum(pay)')}, 'HVDI', cm_type
         FROM (SELECT *, {months()} FROM hvdi) x
         GROUP BY pc_code, pcc_master, biker_code, pay_out_month, pay_out_year, model, cm_type"""
+
+
+def biker_texts() -> dict[str, str]:
+    start = [rider_step(), delivery_step()]
     return {
         "biker_con_level": query(
-            INPUTS, [*start, ranked_step(True), RATED], f"SELECT DISTINCT {by_category} FROM rated"
+            INPUTS, [*start, ranked_step(True), RATED], f"SELECT DISTINCT {con_columns(BY_CATEGORY)} FROM rated"
         ),
         "biker_detailed": query(
             INPUTS,
@@ -144,7 +152,7 @@ def biker_texts() -> dict[str, str]:
             f"""SELECT pc_code, biker_code, onboarding_date, delivery_date, pay_out_month, pay_out_year, sbu, model,
                 {as_long('count(consignment)')} AS no_of_consignments, max(rate_per_shipment) AS rate,
                 sum(rate_per_shipment) AS payables, payout_type
-                FROM (SELECT DISTINCT {con_columns.format(category='')} FROM rated) l
+                FROM (SELECT DISTINCT {con_columns('')} FROM rated) l
                 GROUP BY pc_code, biker_code, onboarding_date, delivery_date, pay_out_month, pay_out_year, sbu, model,
                          payout_type
                 UNION
@@ -152,9 +160,7 @@ def biker_texts() -> dict[str, str]:
                        incentives, {as_double('pay')}, 'HVDI'
                 FROM hvdi""",
         ),
-        "biker_summary": query(
-            INPUTS, [*start, ranked_step(True), RATED, *SLABS, hvdi_step(True)], summary
-        ),
+        "biker_summary": query(INPUTS, *biker_summary_steps()),
         "rider_hvdi": query(
             INPUTS,
             [*start, *SLABS, hvdi_step(True)],
@@ -189,5 +195,178 @@ def biker_texts() -> dict[str, str]:
     }
 
 
+def vehicle_steps(basis: str, with_category: bool) -> list[tuple[str, str]]:
+    category = ", pcc_master" if with_category else ""
+    low, high, value = {
+        "count": ("no_of_consignments_from", "no_of_consignments_to", "parcels"),
+        "weight": ("charge_weight_from", "charge_weight_to", "CAST(kilos AS BIGINT)"),
+    }[basis]
+    return [
+        rider_step(),
+        delivery_step(),
+        ("haul", "SELECT * FROM delivery WHERE model <> 'BIKER COMMERCIALS'"),
+        ("haul_price", f"""
+            SELECT h.*, CASE h.model WHEN '{WITH_BOY}' THEN v.guarantee_amount_per_vehicle_with_biker
+                                     WHEN '{WITHOUT_BOY}' THEN v.guaranteed_amount_per_vehicle_without_biker END
+                        AS guarantee,
+                   CASE h.cm_type
+                   WHEN 'Internal' THEN
+                       CASE WHEN h.w BETWEEN v.amount_of_weight_from AND v.most THEN v.commercials
+                            ELSE v.commercials + (ceil(h.w) - v.most)
+                                 * (v.additional_amount_per_kg / v.additional_weight) END
+                   WHEN 'External' THEN
+                       CASE WHEN h.w BETWEEN p.from_value AND p.to_value THEN p.amount
+                            ELSE p.amount + (ceil(h.w) - p.to_value) * (p.add_amount / p.add_value) END
+                   END AS price
+            FROM haul h
+            LEFT JOIN (SELECT *, round(CAST(amount_of_weight_to AS DOUBLE), 0) AS most FROM vehicle_commercials) v
+                   ON v.pc_code = h.pc_code AND v.amount_of_weight_from <= h.w
+            LEFT JOIN (SELECT * FROM ndv_commercial_master
+                       WHERE category IN ('PCC - External', 'Kirana', 'Helix') AND commercial_category = 'Weight'
+                         AND product_type_it = 'All Products' AND service_type = 'Delivery') p
+                   ON p.vendor_code = h.pc_code
+                  AND h.w BETWEEN p.from_value AND CASE WHEN p.add_value IS NULL THEN p.to_value ELSE 10000 END"""),
+        ("haul_day", f"""
+            SELECT n.*, s.incentives, ceil(n.kilos) * s.incentives AS pay
+            FROM (SELECT vehicle, biker_code, gpart, pc_code, hvdi_model, cm_type, d{category},
+                         count(DISTINCT con) AS parcels, sum(w) AS kilos
+                  FROM haul WHERE cm_type = 'Internal'
+                  GROUP BY vehicle, biker_code, gpart, pc_code, hvdi_model, cm_type, d{category}) n
+            LEFT JOIN vehicle_hvdi s ON s.model = n.hvdi_model AND s.pc_code = n.pc_code
+                                    AND {value} BETWEEN s.{low} AND s.{high}"""),
+    ]
+
+
+VEHICLE_IDENTITY = "vehicle AS vehicle_number, biker_code AS vehicle_code, gpart AS vendor_code"
+
+
+def vehicle_detailed(basis: str) -> str:
+    return query(
+        INPUTS,
+        vehicle_steps(basis, False),
+        f"""SELECT {VEHICLE_IDENTITY}, actvtn_date AS onboarding_date, d AS delivery_date, d_at AS delivery_datetime,
+            h_at AS handover_datetime, {months()}, product, pin AS pincode, 'Express' AS sbu, model,
+            con AS consignment, w AS charge_weight, {as_long('0')} AS no_of_consignment_number,
+            {as_double('0')} AS incentives, {as_double('price')} AS payables, 'Commercials' AS payout_type, cm_type
+            FROM haul_price
+            UNION
+            SELECT vehicle, biker_code, gpart, NULL, d, NULL, NULL, {months()}, ' ', ' ', 'Express', hvdi_model, '0',
+                   ceil(kilos), {as_long('parcels')}, incentives, {as_double('pay')}, 'HVDI', cm_type
+            FROM haul_day""",
+    )
+
+
+def vehicle_summary_steps(basis: str, attendance: int) -> tuple[list[tuple[str, str]], str]:
+    final = f"""
+        SELECT vehicle_number, vehicle_code, vendor_code, vendor_category, cm_type, onboarding_date, pay_out_month,
+               pay_out_year, model, {as_long('days')} AS no_of_days_delivered,
+               {as_long('parcels')} AS no_of_consignments, {as_double('round(parcels / days, 0)')} AS productivity,
+               month_work AS no_of_working_days_in_a_month, own_work AS no_of_total_working_days,
+               {as_long('attendance')} AS attendance, whole AS available_for_the_complete_month,
+               guarantee AS guaranteed_amount, due AS guaranteed_payables, {as_double('earned')} AS commercials_payables,
+               {as_double(f"CASE WHEN attendance >= {attendance} AND coalesce(due, 0) > earned THEN due ELSE earned END")}
+                   AS payable_amount, 'Commercials' AS payout_type
+        FROM (SELECT *, ceil(days * 100.0 / own_work) AS attendance,
+                     CASE WHEN whole = 'No' THEN guarantee * days / month_work ELSE guarantee END AS due
+              FROM (SELECT vehicle_number, vehicle_code, vendor_code, vendor_category, cm_type, onboarding_date,
+                           pay_out_month, pay_out_year, model, month_work, own_work, guarantee, whole,
+                           count(DISTINCT d) AS days, count(DISTINCT con) AS parcels, sum(price) AS earned
+                    FROM (SELECT DISTINCT {VEHICLE_IDENTITY}, pcc_master AS vendor_category, cm_type,
+                                 actvtn_date AS onboarding_date, d, d_at, h_at, {months()}, product, pin, model, con, w,
+                                 {availability()}, guarantee, price
+                          FROM haul_price) l
+                    GROUP BY ALL) g) t
+        UNION
+        SELECT vehicle, biker_code, gpart, pcc_master, cm_type, NULL, pay_out_month, pay_out_year, hvdi_model, 0, 0, 0,
+               0, 0, 0, ' ', 0, 0, 0, {as_double('sum(pay)')}, 'HVDI'
+        FROM (SELECT *, {months()} FROM haul_day) x
+        GROUP BY vehicle, biker_code, gpart, pcc_master, cm_type, pay_out_month, pay_out_year, hvdi_model"""
+    return vehicle_steps(basis, True), final
+
+
+def biker_summary_steps() -> tuple[list[tuple[str, str]], str]:
+    """Steps and final SELECT of the rider summary, for reports built on it."""
+    return [rider_step(), delivery_step(), ranked_step(True), RATED, *SLABS, hvdi_step(True)], biker_summary_select()
+
+
+def vehicle_texts() -> dict[str, str]:
+    return {
+        "vehicle_detailed": vehicle_detailed("count"),
+        "vehicle_detailed_weight_hvdi": vehicle_detailed("weight"),
+        "vehicle_summary": query(INPUTS, *vehicle_summary_steps("count", 80)),
+        "vehicle_summary_weight_hvdi": query(INPUTS, *vehicle_summary_steps("weight", 90)),
+    }
+
+
+def hygiene_text(rate: int, models: str, until: str) -> str:
+    week = "CAST(week({0}) AS BIGINT)"
+    place = "(week({0}) - week(last_day({0}) - INTERVAL 1 MONTH))"
+    return query(
+        INPUTS,
+        [
+            rider_step(),
+            ("inhouse", f"""
+                SELECT f.zzconsg_number AS con, r.pc_code, r.biker_code, r.pcc_master, r.actvtn_date, r.short_model,
+                       {stamp('f.zzdelivery_date')} AS d_at, {stamp('f.handover_datetime')} AS h_at,
+                       CAST({stamp('f.zzdelivery_date')} AS DATE) AS d
+                FROM zpdn_table_payout f
+                JOIN biker_code_test a ON a.reference_number = f.zzconsg_number
+                JOIN rider r ON r.biker_code = a.worker_code
+                JOIN cluster_master c ON c.vendor_code = r.pc_code AND c.type = 'Internal'
+                WHERE f.zzcons_status = 'DRS'"""),
+            ("spine", f"SELECT CAST(g AS DATE) AS dt FROM generate_series(DATE '2022-07-01', DATE '{until}', INTERVAL 1 DAY) s(g)"),
+            ("sunday_total", """
+                SELECT month(dt) AS m, count(*) FILTER (WHERE dayofweek(dt) = 0) AS sundays FROM spine GROUP BY month(dt)"""),
+            ("weekly", f"""
+                SELECT pc_code, biker_code, pcc_master, short_model, month(d) AS m, {week.format('d')} AS iso_week,
+                       {place.format('d')} AS place, count(*) FILTER (WHERE dayofweek(d) = 0) AS sundays_worked,
+                       count(*) FILTER (WHERE dayofweek(d) > 0) AS weekdays_worked
+                FROM (SELECT DISTINCT pc_code, biker_code, pcc_master, short_model, d FROM inhouse
+                      WHERE short_model IN ({models}) AND {FULL} = 'Yes') w
+                GROUP BY pc_code, biker_code, pcc_master, short_model, month(d), {week.format('d')}, {place.format('d')}"""),
+            ("monthly", """
+                SELECT pc_code, biker_code, pcc_master, short_model, m, count(*) FILTER (WHERE sundays_worked = 1) AS hits
+                FROM weekly GROUP BY pc_code, biker_code, pcc_master, short_model, m"""),
+            ("slow", """
+                SELECT pc_code, biker_code, month(d) AS m,
+                       count(*) FILTER (WHERE NOT coalesce(date_diff('second', h_at, d_at) <= 86400, false)) AS misses
+                FROM (SELECT DISTINCT pc_code, biker_code, con, d, d_at, h_at FROM inhouse) q
+                GROUP BY pc_code, biker_code, month(d)"""),
+        ],
+        f"""SELECT pc_code, biker_code, vendor_category, pay_out_month, model_type, sunday_incentive,
+            consignment_closure_incentive, sunday_incentive + consignment_closure_incentive AS total_incentives
+            FROM (SELECT DISTINCT y.pc_code, y.biker_code, y.pcc_master AS vendor_category,
+                         {as_long('y.m')} AS pay_out_month, y.short_model AS model_type,
+                         {as_double(f'round(y.hits / t.sundays * {rate}, 0)')} AS sunday_incentive,
+                         {as_double(f'CASE WHEN x.misses = 0 THEN {rate} ELSE 0 END')} AS consignment_closure_incentive
+                  FROM monthly y
+                  LEFT JOIN sunday_total t ON t.m = y.m
+                  LEFT JOIN slow x ON x.pc_code = y.pc_code AND x.biker_code = y.biker_code AND x.m = y.m) z""",
+    )
+
+
+def week_flags_text(until: str) -> str:
+    """Rider weeks with their rank and flags; the week calendar is written out from the spine."""
+    text = hygiene_text(500, "'BIKER'", until)
+    head = text[: text.rindex(",\nmonthly AS (")]
+    return f"""{head}
+        SELECT k.pc_code, k.biker_code, k.pcc_master AS vendor_category, {as_long('k.m')} AS pay_out_month,
+               {as_long('k.place')} AS week_num, k.iso_week AS year_week_number, {as_long('k.place_rank')} AS rank,
+               {as_long('k.sundays_worked')} AS weekends, {as_long('k.weekdays_worked')} AS weekdays,
+               {as_long("CASE WHEN k.weekdays_worked = c.workdays THEN 1 ELSE 0 END")} AS attendance_incentive,
+               {as_long("CASE WHEN k.sundays_worked = 1 THEN 1 ELSE 0 END")} AS sunday_incentive
+        FROM (SELECT *, rank() OVER (PARTITION BY biker_code ORDER BY place DESC) AS place_rank FROM weekly) k
+        LEFT JOIN (SELECT month(dt) AS m, week(dt) AS iso_week, count(*) FILTER (WHERE dayofweek(dt) > 0) AS workdays
+                   FROM spine GROUP BY month(dt), week(dt)) c ON c.m = k.m AND c.iso_week = k.iso_week"""
+
+
 def texts() -> dict[str, str]:
-    return biker_texts()
+    vehicle_models = "'VEHICLE WITH DELIVERY BOY', 'VEHICLE WITHOUT DELIVERY BOY'"
+    return {
+        **biker_texts(),
+        **vehicle_texts(),
+        "hygiene_incentive_biker": hygiene_text(500, "'BIKER'", "2023-03-31"),
+        "hygiene_incentive_biker_two_years": hygiene_text(500, "'BIKER'", "2024-12-31"),
+        "hygiene_incentive_vehicle": hygiene_text(1000, vehicle_models, "2023-03-31"),
+        "hygiene_week_flags": week_flags_text("2023-03-31"),
+    }

@@ -8,17 +8,19 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelpay.operators import cod, hvdi, kpi, riders
+from parcelpay.operators import calendar, cod, hvdi, kpi, riders
+from parcelpay.operators import sla as scores
 from parcelpay.operators import consignments as con
-from parcelpay.plans import assignment, biker
+from parcelpay.plans import assignment, biker, hygiene, sla, vehicle, vendor_total
 from parcelpay.plans import consignments as vendor
-from parcelpay.rules import PAYOUT_LABELS, VendorRules
+from parcelpay.rules import PAYOUT_LABELS, HygieneRules, SlaRules, VendorRules
 from parcelpay.session import tune
 from parcelpay.sources.star import star_tables
 from parcelpay.sources.tables import PayoutTables
 
 # Fixed values of the registered runs, so that results can be compared.
 AS_OF = date(2023, 3, 31)
+TWO_YEARS = date(2024, 12, 31)
 RUN_TS = datetime(2023, 4, 1, 6, 0, 0)
 
 Report = Callable[[PayoutTables], DataFrame]
@@ -64,6 +66,25 @@ def _worker_availability(t: PayoutTables) -> DataFrame:
     return riders.with_availability(days)
 
 
+def _hygiene_week_flags(t: PayoutTables) -> DataFrame:
+    rules = HygieneRules.biker(AS_OF)
+    rows = hygiene.internal_deliveries(t)
+    spine = calendar.date_spine(rows.sparkSession, rules.start, rules.as_of)
+    weeks = hygiene.week_flags(hygiene.rider_weeks(rows, rules), calendar.week_calendar(spine))
+    return weeks.drop("model")
+
+
+def _with_summaries(t: PayoutTables) -> PayoutTables:
+    """Hand the month summaries to the reports that read them."""
+    return t.with_frames(
+        **{sla.BIKER_SUMMARY: biker.biker_summary(t), sla.VEHICLE_SUMMARY: vehicle.vehicle_summary(t)}
+    )
+
+
+def _sla_colours(t: PayoutTables) -> DataFrame:
+    return scores.centre_colours(scores.centre_scores(t), t["sla_master_table"], SlaRules())
+
+
 REPORTS: dict[str, Report] = {
     "weight_con_level": lambda t: vendor.weight_con_level(t.v1_slabs()),
     "shipment_con_level": lambda t: vendor.shipment_con_level(t.v1_slabs()),
@@ -76,9 +97,23 @@ REPORTS: dict[str, Report] = {
     "biker_con_level": biker.biker_con_level,
     "biker_detailed": biker.biker_detailed,
     "biker_summary": biker.biker_summary,
+    "vehicle_detailed": vehicle.vehicle_detailed,
+    "vehicle_detailed_weight_hvdi": vehicle.vehicle_detailed_weight_hvdi,
+    "vehicle_summary": vehicle.vehicle_summary,
+    "vehicle_summary_weight_hvdi": vehicle.vehicle_summary_weight_hvdi,
+    "hygiene_incentive_biker": lambda t: hygiene.hygiene_incentive_biker(t, HygieneRules.biker(AS_OF)),
+    "hygiene_incentive_biker_two_years": lambda t: hygiene.hygiene_incentive_biker(t, HygieneRules.biker(TWO_YEARS)),
+    "hygiene_incentive_vehicle": lambda t: hygiene.hygiene_incentive_vehicle(t, HygieneRules.vehicle(AS_OF)),
+    "sla_detailed": lambda t: sla.sla_detailed(_with_summaries(t), SlaRules(RUN_TS)),
+    "sla_summary": lambda t: sla.sla_summary(_with_summaries(t), SlaRules(RUN_TS)),
+    "sla_vehicle_total": lambda t: sla.sla_vehicle_total(_with_summaries(t), SlaRules(RUN_TS)),
+    "sla_vehicle": lambda t: sla.sla_vehicle(_with_summaries(t), SlaRules(RUN_TS)),
+    "vendor_summary": lambda t: vendor_total.vendor_summary(_with_summaries(t), SlaRules(RUN_TS)),
     "assignment_check": assignment.assignment_check,
     "rider_hvdi": _rider_hvdi,
     "worker_availability": _worker_availability,
+    "hygiene_week_flags": _hygiene_week_flags,
+    "sla_colours": _sla_colours,
     "pricing_models": _pricing_models,
     "weight_slab_prices": _weight_slab_prices,
     "shipment_ranks": lambda t: _shipment_ranks(t, "timestamp"),
