@@ -74,7 +74,6 @@ def rider_consignments(tables: PayoutTables, with_category: bool = True) -> Data
     if with_category:
         keep["vendor_category"] = F.col("pcc_master")
     rows = assigned(tables, bikers, keep)
-    # The centre joins after the shuffle, so that a filter on its type leaves the shuffle shared between branches.
     rows = with_cluster(
         rows, tables, "gpart", {"pccity": F.upper("cluster_city"), "cm_type": F.col("type")}
     ).drop("gpart")

@@ -185,7 +185,7 @@ def table_sql(d: Dialect) -> dict[str, str]:
     t["commercials"] = f"""
         SELECT pc_type, city AS pc_city, low AS no_of_consignments_from, high AS no_of_consignments_to,
                CAST(pay AS DOUBLE) AS commercials, CAST(12000 AS DOUBLE) AS guaranteed_amount_biker
-        FROM city {d.per_row(steps, city_steps(((1, 10, 100), (11, 20, 200), (21, 1000, 300))))}"""
+        FROM city {d.per_row(steps, city_steps(((1, 10, 5), (11, 20, 10), (21, 1000, 15))))}"""
     t["hvdi_incentive"] = f"""
         SELECT pc_type, city AS pc_city, low AS no_of_consignments_from, high AS no_of_consignments_to,
                CAST(pay AS DOUBLE) AS incentives
@@ -193,10 +193,10 @@ def table_sql(d: Dialect) -> dict[str, str]:
     t["vehicle_commercials"] = f"""
         SELECT code AS pc_code, CAST(low AS DOUBLE) AS amount_of_weight_from, high AS amount_of_weight_to,
                CAST(pay AS DOUBLE) AS commercials, CAST(1 AS DOUBLE) AS additional_weight,
-               CAST(100 AS DOUBLE) AS additional_amount_per_kg,
+               CAST(1 AS DOUBLE) AS additional_amount_per_kg,
                CAST(22464 AS DOUBLE) AS guarantee_amount_per_vehicle_with_biker,
                CAST(16848 AS DOUBLE) AS guaranteed_amount_per_vehicle_without_biker
-        FROM centre {d.per_row(("low", "high", "pay"), ["0, '5', 100", "5, '1000', 200"])}"""
+        FROM centre {d.per_row(("low", "high", "pay"), ["0, '5', 10", "5, '1000', 20"])}"""
     hvdi = [
         f"'{model}', {row}"
         for model in ("Vehicle_with_Delivery_boy", "Vehicle_without_Delivery_boy")
