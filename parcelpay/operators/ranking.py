@@ -18,7 +18,7 @@ HOT_SHARE = 1 / 8192
 # Below this many rows one task sorts a slot without trouble.
 HOT_FLOOR = 1_000_000
 # Leading characters of the ordering text by which a hot group is split; prefixes keep the order of the texts.
-SPLIT_PREFIX = 6
+SPLIT_PREFIX = 7
 
 
 def rank_within(

@@ -19,7 +19,7 @@ from parcelpay.operators.sla import (
     vehicle_colour,
     with_sla_pay,
 )
-from parcelpay.rules import SlaRules
+from parcelpay.rules import COMMERCIALS, SlaRules
 from parcelpay.sources.tables import PayoutTables
 
 # Names under which the month summaries are handed over.
@@ -29,6 +29,11 @@ _COLOURS = ["fad_colour", "td_colour", "scd_colour"]
 _PAY = ["commercial_amount", "payables_percentage", "sla_paid", "payout_type"]
 
 
+def _commercials(summary: DataFrame, code: str) -> DataFrame:
+    """Commercials per centre and month; the filter reaches into the summary and drops its incentive branch."""
+    return centre_commercials(centre_months(summary.filter(F.col("payout_type") == COMMERCIALS), code))
+
+
 def sla_pay(tables: PayoutTables, commercials: DataFrame, rules: SlaRules) -> DataFrame:
     """Colours and pay of internal centres, one row per month with commercials (or one without)."""
     scores = centre_colours(centre_scores(tables), tables["sla_master_table"], rules)
@@ -46,7 +51,7 @@ def sla_pay(tables: PayoutTables, commercials: DataFrame, rules: SlaRules) -> Da
 
 def sla_detailed(tables: PayoutTables, rules: SlaRules | None = None) -> DataFrame:
     """Centre with its three colours, category, final colour and service-level pay."""
-    commercials = centre_commercials(centre_months(tables[BIKER_SUMMARY], "pc_code"))
+    commercials = _commercials(tables[BIKER_SUMMARY], "pc_code")
     rows = sla_pay(tables, commercials, rules or SlaRules())
     columns = ["pc_code", "timestamp", *_COLOURS, "category", "sla_final_colour", *_PAY, "total_payables"]
     return rows.select(*columns).distinct()
@@ -60,7 +65,7 @@ def sla_summary(tables: PayoutTables, rules: SlaRules | None = None) -> DataFram
 def sla_vehicle_total(tables: PayoutTables, rules: SlaRules | None = None) -> DataFrame:
     """Centre with vehicle commercials: RED or GREEN, pay and total."""
     rules = rules or SlaRules()
-    commercials = centre_commercials(centre_months(tables[VEHICLE_SUMMARY], "vendor_code"))
+    commercials = _commercials(tables[VEHICLE_SUMMARY], "vendor_code")
     rows = vehicle_colour(centre_scores(tables), rules).join(commercials, "pc_code")
     percent = F.when(F.col("sla_colour") == "RED", rules.vehicle_red_percent).otherwise(F.lit(0.0))
     rows = with_sla_pay(rows.withColumn("payables_percentage", percent)).withColumn("timestamp", stamp(rules))

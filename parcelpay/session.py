@@ -30,6 +30,8 @@ def local_session(cores: str = "*", app: str = "parcelpay", shuffle_partitions:
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        # Keeping the Python line of every column costs more than the columns themselves.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     spark = tune(builder.getOrCreate())

@@ -236,8 +236,8 @@ def needed(tables: dict[str, str], wanted: Sequence[str]) -> list[str]:
     return [n for n in names if n in keep]
 
 
-def with_clause(d: Dialect, wanted: Sequence[str], extra: str = "") -> str:
+def with_clause(d: Dialect, wanted: Sequence[str], extra: str = "", tables: dict[str, str] | None = None) -> str:
     """`WITH` list of the wanted tables and what they need."""
-    tables = table_sql(d)
+    tables = tables or table_sql(d)
     parts = [f"{name} AS ({tables[name]})" for name in needed(tables, wanted)]
     return "WITH " + ",\n".join(([extra] if extra else []) + parts)

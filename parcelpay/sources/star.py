@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelpay.sources.fixture_sql import SPARK, STAR_TABLES, table_sql, with_clause
+from parcelpay.sources.fixture_sql import SPARK, STAR_TABLES, needed, table_sql, with_clause
 from parcelpay.sources.schemas import SCHEMAS
 from parcelpay.sources.tables import PayoutTables
 
@@ -15,12 +15,13 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 _staged: dict[tuple[str, str], PayoutTables] = {}
 
 
-def derive(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One report input, derived from the star-schema files in `root`."""
-    if name not in table_sql(SPARK):
+def derive(spark: SparkSession, root: str, name: str, ready: dict[str, str] | None = None) -> DataFrame:
+    """One derived table from the star-schema files in `root`; `ready` holds paths of tables already written."""
+    tables = table_sql(SPARK) | {t: f"SELECT * FROM parquet.`{path}`" for t, path in (ready or {}).items()}
+    if name not in tables:
         raise KeyError(name)
     sources = ",\n".join(f"{t} AS (SELECT * FROM parquet.`{root}/{t}.parquet`)" for t in STAR_TABLES)
-    return spark.sql(f"{with_clause(SPARK, [name], extra=sources)}\nSELECT * FROM {name}")
+    return spark.sql(f"{with_clause(SPARK, [name], extra=sources, tables=tables)}\nSELECT * FROM {name}")
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -43,10 +44,18 @@ def star_tables(spark: SparkSession, root: str) -> PayoutTables:
     if key not in _staged:
         folder = f"{shared_folder(spark)}/parcelpay-{uuid.uuid4().hex}"
 
-        def staged(name: str) -> DataFrame:
+        ready: dict[str, str] = {}
+
+        def write(name: str) -> str:
             path = f"{folder}/{name}"
-            derive(spark, root, name).write.mode("overwrite").parquet(path)
-            return spark.read.schema(SCHEMAS[name]).parquet(path)
+            derive(spark, root, name, ready).write.mode("overwrite").parquet(path)
+            return path
+
+        def staged(name: str) -> DataFrame:
+            # The fact-side tables share their parcels, which are aggregated once.
+            if "parcel" in needed(table_sql(SPARK), [name]) and "parcel" not in ready:
+                ready["parcel"] = write("parcel")
+            return spark.read.schema(SCHEMAS[name]).parquet(write(name))
 
         _staged[key] = PayoutTables(staged)
     return _staged[key]
