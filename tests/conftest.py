@@ -16,7 +16,10 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("4", "parcelpay-tests", shuffle_partitions=4)
+    session = local_session("4", "parcelpay-tests", shuffle_partitions=2)
+    # Compiling code for a handful of rows takes longer than running them.
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
+    session.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
     yield session
     session.stop()
 
