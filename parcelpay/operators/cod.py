@@ -31,25 +31,12 @@ def cod_penalties(remittances: DataFrame, rules: VendorRules) -> DataFrame:
     )
 
 
-def penalty_kinds(penalties: DataFrame) -> DataFrame:
-    """Each remitted number with its distinct penalties, of which there are two at most.
-
-    One aggregate by number gives both the de-duplication and the partitioning of the join that follows.
-    """
-    amount = F.col("cod_penalty")
-    kinds = penalties.groupBy("con_number").agg(
-        F.max(F.when(amount == 0, amount)).alias("_none"), F.max(F.when(amount != 0, amount)).alias("_late")
-    )
-    found = F.array_compact(F.array("_none", "_late"))
-    return kinds.select("con_number", F.explode(found).alias("cod_penalty"))
-
-
 def with_cod(facts: DataFrame, remittances: DataFrame, rules: VendorRules, with_time: bool = False) -> DataFrame:
     """Left join of facts (column `cod_key`) with their penalties, and on request the remittance times.
 
-    Remittances are reduced to the columns in use before they are shuffled, which merges repeats on the map side.
+    Remittances are reduced to the columns in use and merged before they are shuffled. Both sides reach the join by an
+    exchange of their own, which is what lets Spark split a partition with a hot number at run time.
     """
-    penalties = cod_penalties(remittances, rules)
-    side = penalties.distinct() if with_time else penalty_kinds(penalties)
-    side = side.withColumnRenamed("con_number", "_con")
+    columns = ["time_utr_date", "cod_penalty"] if with_time else ["cod_penalty"]
+    side = cod_penalties(remittances, rules).select(F.col("con_number").alias("_con"), *columns).distinct()
     return facts.join(side, facts["cod_key"] == side["_con"], "left").drop("_con")
