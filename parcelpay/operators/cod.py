@@ -31,12 +31,16 @@ def cod_penalties(remittances: DataFrame, rules: VendorRules) -> DataFrame:
     )
 
 
-def with_cod(facts: DataFrame, remittances: DataFrame, rules: VendorRules, with_time: bool = False) -> DataFrame:
-    """Left join of facts (column `cod_key`) with their penalties, and on request the remittance times.
+def distinct_penalties(remittances: DataFrame, rules: VendorRules, with_time: bool = False) -> DataFrame:
+    """Penalties by number, and on request remittance times, reduced to the columns in use and merged early."""
+    columns = ["time_utr_date", "cod_penalty"] if with_time else ["cod_penalty"]
+    return cod_penalties(remittances, rules).select("con_number", *columns).distinct()
+
 
-    Remittances are reduced to the columns in use and merged before they are shuffled. Both sides reach the join by an
-    exchange of their own, which is what lets Spark split a partition with a hot number at run time.
+def with_cod(facts: DataFrame, penalties: DataFrame) -> DataFrame:
+    """Left join of facts (column `cod_key`) with their penalties.
+
+    Both sides reach the join by an exchange of their own, which is what lets Spark split a partition with a hot number
+    at run time.
     """
-    columns = ["time_utr_date", "cod_penalty"] if with_time else ["cod_penalty"]
-    side = cod_penalties(remittances, rules).select(F.col("con_number").alias("_con"), *columns).distinct()
-    return facts.join(side, facts["cod_key"] == side["_con"], "left").drop("_con")
+    return facts.join(penalties, facts["cod_key"] == penalties["con_number"], "left").drop("con_number")

@@ -77,12 +77,11 @@ def read_consignments(tables: PayoutTables, rules: VendorRules) -> DataFrame:
     return facts.withColumns({"delivery_day": F.to_date("delivered_at"), "eligible": eligible})
 
 
-def vendor_consignments(tables: PayoutTables, rules: VendorRules) -> DataFrame:
-    """Consignments of delivery vendors with eligibility and pricing model.
+def vendor_consignments(facts: DataFrame, tables: PayoutTables, rules: VendorRules) -> DataFrame:
+    """Consignments of delivery vendors, as read, with vendor name and pricing model.
 
     Rows may repeat here; each report removes repeats where it shuffles anyway.
     """
-    facts = read_consignments(tables, rules)
     vendors = tables["ndv_vendor_master"].filter(F.col("vendor_category") == DELIVERY_VENDOR)
     facts = master_join(facts, vendors, "vendor_code", "vendor_code", {"vendor_name": F.col("vendor_name")})
     if rules.require_rate_row:

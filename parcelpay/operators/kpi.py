@@ -29,14 +29,17 @@ def kpi_percents(kpis: DataFrame, bands: DataFrame) -> DataFrame:
     return frame
 
 
-def with_kpi(facts: DataFrame, kpis: DataFrame, bands: DataFrame) -> DataFrame:
-    """Left join of facts (columns vendor_code, product_key, delivery_day) with the KPI intervals that hold the day."""
+def with_kpi(facts: DataFrame, percents: DataFrame, kpi_table: DataFrame) -> DataFrame:
+    """Left join of facts (columns vendor_code, product_key, delivery_day) with the KPI intervals that hold the day.
+
+    `kpi_table` is the table behind `percents`, whose size bounds it.
+    """
     scores = {c: F.col(c) for name in KPI_NAMES for c in (name, f"{name}_percent")}
     return band_join(
         facts,
-        kpi_percents(kpis, bands),
+        percents,
         equal=[("vendor_code", F.col("vendor_code")), ("product_key", F.upper("product"))],
         within=[("delivery_day", F.col("from_date"), F.col("to_date"))],
         keep=scores,
-        sized_by=kpis,
+        sized_by=kpi_table,
     )

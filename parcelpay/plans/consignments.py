@@ -11,12 +11,14 @@ of the reports are plain unions of distinct branches here.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelpay.functions.money import gain, loss
 from parcelpay.functions.times import distinct_days, month_label, month_number, year_number
-from parcelpay.operators.cod import with_cod
+from parcelpay.operators.cod import distinct_penalties, with_cod
 from parcelpay.operators.consignments import (
     price_by_rank,
     price_by_weight,
@@ -27,7 +29,7 @@ from parcelpay.operators.consignments import (
     vendor_consignments,
     with_cod_key,
 )
-from parcelpay.operators.kpi import KPI_NAMES, with_kpi
+from parcelpay.operators.kpi import KPI_NAMES, kpi_percents, with_kpi
 from parcelpay.rules import NO_RATE_REMARK, NO_SLAB_REMARK, VendorRules
 from parcelpay.sources.tables import PayoutTables
 
@@ -41,30 +43,50 @@ _MONEY = [
 ]
 
 
-def _settled(facts: DataFrame, tables: PayoutTables, rules: VendorRules, with_time: bool = False) -> DataFrame:
-    facts = with_kpi(facts, tables["ndv_kpi_table"], tables["ndv_kpi_master"])
-    facts = with_cod(with_cod_key(facts, rules), tables["cod_remittance"], rules, with_time)
-    return settle(facts, rules)
+@dataclass(frozen=True)
+class _Inputs:
+    """What both pricing models start from, built once per report."""
+
+    rules: VendorRules
+    read: DataFrame
+    base: DataFrame
+    rates: DataFrame
+    kpis: DataFrame
+    kpi_table: DataFrame
+    penalties: DataFrame
+
+
+def _inputs(tables: PayoutTables, rules: VendorRules, with_time: bool = False) -> _Inputs:
+    read = read_consignments(tables, rules)
+    return _Inputs(
+        rules=rules,
+        read=read,
+        base=vendor_consignments(read, tables, rules),
+        rates=rates_in_force(tables, rules),
+        kpis=kpi_percents(tables["ndv_kpi_table"], tables["ndv_kpi_master"]),
+        kpi_table=tables["ndv_kpi_table"],
+        penalties=distinct_penalties(tables["cod_remittance"], rules, with_time),
+    )
+
 
+def _settled(facts: DataFrame, inputs: _Inputs) -> DataFrame:
+    facts = with_kpi(facts, inputs.kpis, inputs.kpi_table)
+    return settle(with_cod(with_cod_key(facts, inputs.rules), inputs.penalties), inputs.rules)
 
-def _weight_rows(
-    tables: PayoutTables, rules: VendorRules, with_time: bool = False, unmodelled: bool = False
-) -> DataFrame:
+
+def _weight_rows(inputs: _Inputs, unmodelled: bool = False) -> DataFrame:
     """Settled rows of the weight model, and on request those whose product has no model."""
     wanted = F.col("category_model") == WEIGHT
     if unmodelled:
         wanted = wanted | F.col("category_model").isNull()
-    facts = vendor_consignments(tables, rules).filter(wanted)
-    priced = price_by_weight(facts, rates_in_force(tables, rules), rules)
-    return _settled(priced, tables, rules, with_time)
+    return _settled(price_by_weight(inputs.base.filter(wanted), inputs.rates, inputs.rules), inputs)
 
 
-def _shipment_rows(tables: PayoutTables, rules: VendorRules, with_time: bool = False) -> DataFrame:
+def _shipment_rows(inputs: _Inputs) -> DataFrame:
     """Settled rows of the shipment model."""
-    facts = vendor_consignments(tables, rules).filter(F.col("category_model") == SHIPMENT)
-    ranked = shipment_rank(facts, read_consignments(tables, rules), rules)
-    priced = price_by_rank(ranked, rates_in_force(tables, rules), rules)
-    return _settled(priced, tables, rules, with_time)
+    facts = inputs.base.filter(F.col("category_model") == SHIPMENT)
+    ranked = shipment_rank(facts, inputs.read, inputs.rules)
+    return _settled(price_by_rank(ranked, inputs.rates, inputs.rules), inputs)
 
 
 def _distinct(rows: DataFrame, *columns: str | Column) -> DataFrame:
@@ -90,36 +112,40 @@ def _con_level(rows: DataFrame, delivered: str, handed_over: str) -> DataFrame:
     ).drop("cod_key")
 
 
+def _weight_con(inputs: _Inputs) -> DataFrame:
+    return _con_level(_weight_rows(inputs), "delivery_date", "handover_date")
+
+
+def _shipment_con(inputs: _Inputs) -> DataFrame:
+    return _con_level(_shipment_rows(inputs), "delivery_datetime", "handover_datetime")
+
+
 def weight_con_level(tables: PayoutTables, rules: VendorRules | None = None) -> DataFrame:
     """Consignments on weight pricing."""
-    rules = rules or VendorRules.v1()
-    return _con_level(_weight_rows(tables, rules), "delivery_date", "handover_date")
+    return _weight_con(_inputs(tables, rules or VendorRules.v1()))
 
 
 def shipment_con_level(tables: PayoutTables, rules: VendorRules | None = None) -> DataFrame:
     """Consignments on per-shipment pricing."""
-    rules = rules or VendorRules.v1()
-    return _con_level(_shipment_rows(tables, rules), "delivery_datetime", "handover_datetime")
+    return _shipment_con(_inputs(tables, rules or VendorRules.v1()))
 
 
 def combined_con_level(tables: PayoutTables, rules: VendorRules | None = None) -> DataFrame:
     """Consignments of both pricing models."""
-    rules = rules or VendorRules.v1()
-    return weight_con_level(tables, rules).union(shipment_con_level(tables, rules))
+    inputs = _inputs(tables, rules or VendorRules.v1())
+    return _weight_con(inputs).union(_shipment_con(inputs))
 
 
 def con_level_with_logs(tables: PayoutTables, rules: VendorRules | None = None) -> DataFrame:
     """Consignments of both pricing models and of products without a rate, with the reason for a missing amount."""
-    rules = rules or VendorRules.v2(cod_sign=-1)
+    inputs = _inputs(tables, rules or VendorRules.v2(cod_sign=-1), with_time=True)
     unmodelled = F.col("category_model").isNull()
-    weight = _weight_rows(tables, rules, with_time=True, unmodelled=True)
     # A product without a model is paid nothing; its money columns are zeros and its amount and remittance time unknown.
     zeros = {c: F.when(unmodelled, F.lit(0.0)).otherwise(F.col(c)) for c in _MONEY if c != "commercial"}
     blanks = {c: F.when(~unmodelled, F.col(c)) for c in ("commercial", "time_utr_date")}
-    rows = weight.withColumns({**zeros, **blanks}).select(*_logged())
-    return rows.distinct().drop("cod_key").union(
-        _shipment_rows(tables, rules, with_time=True).select(*_logged()).distinct().drop("cod_key")
-    )
+    weight = _weight_rows(inputs, unmodelled=True).withColumns({**zeros, **blanks})
+    branches = [rows.select(*_logged()).distinct().drop("cod_key") for rows in (weight, _shipment_rows(inputs))]
+    return branches[0].union(branches[1])
 
 
 def _logged() -> list[str | Column]:
@@ -210,19 +236,19 @@ def _v2_months() -> dict[str, Column]:
 
 def weight_detailed(tables: PayoutTables, rules: VendorRules | None = None) -> DataFrame:
     """Day view of the weight model."""
-    return _day_level(_weight_rows(tables, rules or VendorRules.v1()), _v1_months())
+    return _day_level(_weight_rows(_inputs(tables, rules or VendorRules.v1())), _v1_months())
 
 
 def shipment_detailed(tables: PayoutTables, rules: VendorRules | None = None) -> DataFrame:
     """Day view of the shipment model."""
-    return _day_level(_shipment_rows(tables, rules or VendorRules.v1()), _v1_months())
+    return _day_level(_shipment_rows(_inputs(tables, rules or VendorRules.v1())), _v1_months())
 
 
 def combined_detailed(tables: PayoutTables, rules: VendorRules | None = None) -> DataFrame:
     """Day view of both models; late remittance shows as a negative amount."""
-    rules = rules or VendorRules.v2(cod_sign=-1)
-    weight = _day_level(_weight_rows(tables, rules), _v2_months())
-    return weight.union(_day_level(_shipment_rows(tables, rules), _v2_months()))
+    inputs = _inputs(tables, rules or VendorRules.v2(cod_sign=-1))
+    weight = _day_level(_weight_rows(inputs), _v2_months())
+    return weight.union(_day_level(_shipment_rows(inputs), _v2_months()))
 
 
 # ---- month level ----------------------------------------------------------------------------------------------------

@@ -26,8 +26,12 @@ RUN_TS = datetime(2023, 4, 1, 6, 0, 0)
 Report = Callable[[PayoutTables], DataFrame]
 
 
+def _consignments(t: PayoutTables, rules: VendorRules) -> DataFrame:
+    return con.vendor_consignments(con.read_consignments(t, rules), t, rules)
+
+
 def _pricing_models(t: PayoutTables) -> DataFrame:
-    rows = con.vendor_consignments(t, VendorRules.v2())
+    rows = _consignments(t, VendorRules.v2())
     return rows.groupBy("vendor_code", "dox_type", "product", "category_model").agg(
         F.count_distinct("consignment_number").alias("consignments")
     )
@@ -35,7 +39,7 @@ def _pricing_models(t: PayoutTables) -> DataFrame:
 
 def _weight_slab_prices(t: PayoutTables) -> DataFrame:
     rules = VendorRules.v2()
-    rows = con.vendor_consignments(t, rules).filter(F.col("category_model") == vendor.WEIGHT)
+    rows = _consignments(t, rules).filter(F.col("category_model") == vendor.WEIGHT)
     priced = con.price_by_weight(rows.distinct(), con.rates_in_force(t, rules), rules)
     keys = ["vendor_code", "dox_type", "product", "zzcharge_weight", "eligible", "commercial"]
     return priced.groupBy(*keys).agg(F.count(F.lit(1)).alias("slab_rows"))
@@ -43,7 +47,7 @@ def _weight_slab_prices(t: PayoutTables) -> DataFrame:
 
 def _shipment_ranks(t: PayoutTables, grain: str) -> DataFrame:
     rules = VendorRules.v2().with_(rank_grain=grain)
-    rows = con.vendor_consignments(t, rules).filter(F.col("category_model") == vendor.SHIPMENT)
+    rows = _consignments(t, rules).filter(F.col("category_model") == vendor.SHIPMENT)
     columns = ["vendor_code", "consignment_number", "delivered_at", "product", "eligible", "rank"]
     return con.shipment_rank(rows, con.read_consignments(t, rules), rules).select(*columns)
 
