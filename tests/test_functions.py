@@ -17,9 +17,18 @@ def rows(spark, data, ddl, **columns):
     return [tuple(r) for r in spark.createDataFrame(data, ddl).select(*[c.alias(n) for n, c in columns.items()]).collect()]
 
 
-def test_stamp_that_does_not_parse_is_null(spark):
-    got = rows(spark, [("05-02-2023 23:59:59",), ("2023-02-05",), ("",), (None,)], "t string", at=T.parse_stamp(F.col("t")))
-    assert got == [(datetime(2023, 2, 5, 23, 59, 59),), (None,), (None,), (None,)]
+def test_stamp_parses_like_its_format(spark):
+    texts = [
+        "05-02-2023 23:59:59", "31-12-1999 00:00:00", "29-02-2024 12:00:00", "31-02-2023 00:00:00", "29-02-2023 12:00:00",
+        "00-01-2023 00:00:00", "01-13-2023 00:00:00", "01-01-2023 24:00:00", "01-01-2023 10:60:00", "01-01-2023 10:00:60",
+        "2023-02-05 10:00:00", "05-02-2023", "5-2-2023 1:00:00", "05-02-2023 10:00:00 ", " 05-02-2023 10:00:00",
+        "05-02-2023 10:00:00\n", "05/02/2023 10:00:00", "05-02-2023T10:00:00", "not recorded", "", None,
+    ]
+    by_format = F.try_to_timestamp(F.col("t"), F.lit("dd-MM-yyyy HH:mm:ss"))
+    got = rows(spark, [(t,) for t in texts], "t string", at=T.parse_stamp(F.col("t")), want=by_format)
+    assert [a for a, _ in got] == [b for _, b in got]
+    assert got[0][0] == datetime(2023, 2, 5, 23, 59, 59)
+    assert [a is not None for a, _ in got] == [True] * 3 + [False] * (len(texts) - 3)
 
 
 def test_window_counts_all_elapsed_seconds_and_includes_its_end(spark):
