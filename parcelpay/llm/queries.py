@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelpay.llm import langid, mixing, ngram_join, packing, quality, sharding, warc
+from parcelpay.llm import fingerprints, langid, mixing, ngram_join, packing, quality, sharding, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op8_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edits(table(spark, sf_dir, "documents"))
+
+
 def op9_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages"))
 
@@ -57,6 +61,7 @@ QUERIES = {
         op4_source_mixing,
         op5_quality_rules,
         op6_language_id,
+        op8_weighted_fingerprints,
         op9_warc_archives,
         op10_feistel_sharding,
     )
