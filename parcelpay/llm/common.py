@@ -20,13 +20,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def words(text: Column) -> Column:
     """The maximal runs of other characters than `SPACES`; an empty array for a null text."""
-    flat = F.translate(F.coalesce(text, F.lit("")), SPACES[1:], " " * (len(SPACES) - 1))
+    flat = F.coalesce(text, F.lit(""))
+    for space in SPACES[1:]:
+        flat = F.replace(flat, F.lit(space), F.lit(" "))
     return F.array_remove(F.split(flat, " "), "")
 
 
 def lower_ascii(text: Column) -> Column:
     """A to Z in lower case, all other characters as they are."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    lowered = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.when(F.char_length(text) == F.octet_length(text), F.lower(text)).otherwise(lowered)
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelpay.llm import fingerprints, langid, mixing, ngram_join, packing, quality, sharding, warc
+from parcelpay.llm import fingerprints, langid, mixing, ngram_join, packing, pii, quality, sharding, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,17 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.learn(docs))
+    return found.select(
+        "doc_id",
+        *[F.size(F.col("base")[k]).cast("long").alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(pii.base_listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.listed(F.col("found")).alias("spans"),
+    )
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     m = F.col("mix")
@@ -58,6 +69,7 @@ QUERIES = {
     for f in (
         op1_ngram_jaccard_join,
         op2_best_fit_packing,
+        op3_personal_data,
         op4_source_mixing,
         op5_quality_rules,
         op6_language_id,

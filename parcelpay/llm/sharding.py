@@ -30,15 +30,17 @@ def permuted(x: Column, n: int, seed: int = SEED) -> Column:
     """
     a, b = domain(n)
 
+    def turn(i: int):
+        """Round `i`: one half gets a keyed hash of the other added."""
+        keyed = lambda half, size: F.pmod(F.xxhash64(F.lit(seed), F.lit(i), half), F.lit(size))
+        if i % 2:
+            return lambda p: F.struct(p["l"].alias("l"), ((p["r"] + keyed(p["l"], b)) % b).alias("r"))
+        return lambda p: F.struct(((p["l"] + keyed(p["r"], a)) % a).alias("l"), p["r"].alias("r"))
+
     def once(v: Column) -> Column:
-        left, right = F.floor(v / b).cast("long"), v % b
-        pair = F.struct(left.alias("l"), right.alias("r"))
+        pair = F.struct(F.floor(v / b).cast("long").alias("l"), (v % b).alias("r"))
         for i in range(ROUNDS):
-            if i % 2:
-                turn = lambda p, i=i: F.struct(p["l"].alias("l"), ((p["r"] + F.pmod(F.xxhash64(F.lit(seed), F.lit(i), p["l"]), F.lit(b))) % b).alias("r"))
-            else:
-                turn = lambda p, i=i: F.struct(((p["l"] + F.pmod(F.xxhash64(F.lit(seed), F.lit(i), p["r"]), F.lit(a))) % a).alias("l"), p["r"].alias("r"))
-            pair = let(pair, turn)
+            pair = let(pair, turn(i))
         return let(pair, lambda p: p["l"] * b + p["r"])
 
     walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), once(x), lambda v, _: F.when(v < n, v).otherwise(once(v)))
