@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelpay.llm import fingerprints, langid, mixing, ngram_join, packing, pii, quality, sharding, warc
+from parcelpay.llm import fingerprints, langid, line_dedup, mixing, ngram_join, packing, pii, quality, sharding, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +47,17 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    n_lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long")
+    removed = line_dedup.repeated_lines(docs)
+    none = F.array().cast("array<int>")
+    return (
+        docs.select("doc_id", n_lines.alias("n_lines")).join(removed, "doc_id", "left")
+        .select("doc_id", "n_lines", F.coalesce(F.size("removed").cast("long"), F.lit(0)).alias("n_removed"), F.coalesce("removed", none).alias("removed"))
+    )
+
+
 def op8_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edits(table(spark, sf_dir, "documents"))
 
@@ -73,6 +84,7 @@ QUERIES = {
         op4_source_mixing,
         op5_quality_rules,
         op6_language_id,
+        op7_line_dedup,
         op8_weighted_fingerprints,
         op9_warc_archives,
         op10_feistel_sharding,
