@@ -1,6 +1,6 @@
-"""Delivery payout analytics on Spark: consignment pricing, rider and vehicle pay, hygiene, SLA and vendor totals."""
+"""Delivery pay analytics on Spark: consignment pricing, rider and vehicle pay, hygiene, SLA and vendor totals."""
 
 from parcelpay.rules import BikerRules, HygieneRules, SlaRules, VehicleRules, VendorRules
-from parcelpay.sources.tables import PayoutTables
+from parcelpay.sources.tables import ReportTables
 
-__all__ = ["BikerRules", "HygieneRules", "PayoutTables", "SlaRules", "VehicleRules", "VendorRules"]
+__all__ = ["BikerRules", "HygieneRules", "ReportTables", "SlaRules", "VehicleRules", "VendorRules"]

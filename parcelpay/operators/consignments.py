@@ -12,7 +12,7 @@ from parcelpay.operators.kpi import KPI_NAMES
 from parcelpay.operators.lookups import band_join, broadcast_within_limit, master_join
 from parcelpay.operators.ranking import rank_within
 from parcelpay.rules import ANY_DOX, DELIVERED_STATUS, DELIVERY_VENDOR, LATE_REMARK, OVERFLOW_LIMIT, VendorRules
-from parcelpay.sources.tables import PayoutTables
+from parcelpay.sources.tables import ReportTables
 
 # Columns that identify a consignment row of the vendor reports.
 BASE_COLUMNS = [
@@ -30,7 +30,7 @@ def delivered(facts: DataFrame) -> DataFrame:
     return facts.filter(F.col("zzcons_status") == DELIVERED_STATUS)
 
 
-def rates_in_force(tables: PayoutTables, rules: VendorRules) -> DataFrame:
+def rates_in_force(tables: ReportTables, rules: VendorRules) -> DataFrame:
     """Slab table of the rules' service type."""
     rates = tables["ndv_commercial_master"]
     return rates if rules.service_type is None else rates.filter(F.col("service_type") == rules.service_type)
@@ -55,7 +55,7 @@ def with_pricing_model(facts: DataFrame, rates: DataFrame, rules: VendorRules) -
     return facts.withColumn("category_model", F.coalesce("_exact", "_both")).drop("_exact", "_both")
 
 
-def read_consignments(tables: PayoutTables, rules: VendorRules) -> DataFrame:
+def read_consignments(tables: ReportTables, rules: VendorRules) -> DataFrame:
     """Delivered rows with parsed times, weight as the rules read it, eligibility and match keys."""
     facts = delivered(tables[rules.fact_table])
     weight = F.col("zzcharge_weight")
@@ -77,7 +77,7 @@ def read_consignments(tables: PayoutTables, rules: VendorRules) -> DataFrame:
     return facts.withColumns({"delivery_day": F.to_date("delivered_at"), "eligible": eligible})
 
 
-def vendor_consignments(facts: DataFrame, tables: PayoutTables, rules: VendorRules) -> DataFrame:
+def vendor_consignments(facts: DataFrame, tables: ReportTables, rules: VendorRules) -> DataFrame:
     """Consignments of delivery vendors, as read, with vendor name and pricing model.
 
     Rows may repeat here; each report removes repeats where it shuffles anyway.
@@ -134,7 +134,7 @@ def shipment_rank(facts: DataFrame, load: DataFrame, rules: VendorRules, **split
     """
     keys = RANK_KEYS[rules.rank_grain]
     rows = facts.select(*BASE_COLUMNS, "delivery_day", "dox_key", "product_key").distinct()
-    ranked = rank_within(rows, keys, "consignment_number", load=load.select(*keys), load_keys=keys, **split)
+    ranked = rank_within(rows, keys, "consignment_number", load=load.select(*keys, "consignment_number"), load_keys=keys, **split)
     return ranked.drop("_part")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelpay.functions.times import month_label, year_number
+from parcelpay.names import KIND
 from parcelpay.operators.lookups import band_join
 from parcelpay.rules import HVDI, SBU
 
@@ -68,7 +69,7 @@ def rider_hvdi(rows: DataFrame, slabs: DataFrame) -> DataFrame:
                 "pay_out_month": month_label(F.col("delivery_date")),
                 "pay_out_year": year_number(F.col("delivery_date")),
                 "sbu": F.lit(SBU),
-                "payout_type": F.lit(HVDI),
+                KIND: F.lit(HVDI),
                 "onboarding_date": F.lit(None).cast("date"),
             }
         )

@@ -70,7 +70,8 @@ def band_join(
 
 
 def master_join(
-    facts: DataFrame, master: DataFrame, fact_key: str, master_key: str, keep: Mapping[str, Column], how: str = "inner"
-) -> DataFrame:
+    facts: DataFrame, master: DataFrame, fact_key: str, master_key: str, keep: Mapping[str, Column], how: str = "inner",
+    sized_by: DataFrame | None = None,
+) -> DataFrame:
     """Equality join with a master table, broadcast when its size allows."""
-    return band_join(facts, master, [(fact_key, F.col(master_key))], [], keep, how)
+    return band_join(facts, master, [(fact_key, F.col(master_key))], [], keep, how, sized_by)

@@ -7,18 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelpay.operators.lookups import size_bound
+from parcelpay.operators.lookups import broadcast_within_limit
 
-# Below this stored size of the facts no group can overload a task, so a plain window will do.
-SPLIT_FROM_BYTES = 4 * 1024**3
-# Groups are counted in this many hash slots, which bounds the count's result.
-SLOTS = 1 << 20
-# A slot is hot when it holds more than this share of the rows: at most 8,191 slots can be.
-HOT_SHARE = 1 / 8192
-# Below this many rows one task sorts a slot without trouble.
-HOT_FLOOR = 1_000_000
-# Leading characters of the ordering text by which a hot group is split; prefixes keep the order of the texts.
-SPLIT_PREFIX = 7
+# Up to this many rows, one task sorts a group without trouble; larger groups are split.
+ROWS_PER_TASK = 1_000_000
+# A large group is split at so many texts at most, picked from about this many of its own.
+MOST_CUTS, SAMPLED = 64, 1024
 
 
 def rank_within(
@@ -29,49 +23,38 @@ def rank_within(
     load_keys: Sequence[str],
     out: str = "rank",
     part: str = "_part",
-    split: bool | None = None,
-    hot_floor: int = HOT_FLOOR,
-    hot_share: float = HOT_SHARE,
-    prefix: int = SPLIT_PREFIX,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add RANK() of the text column `order` within `keys`, NULLs last.
 
-    `load` shows how rows spread over `load_keys` (columns of both frames); it only steers the split and never changes
-    a rank. A hot group is ranked in sub-groups of equal prefix, and the rows of the earlier prefixes are added: equal
-    texts share a prefix, so the sum is the rank over the whole group. Only one row per prefix of a hot group meets in
-    one task. When nothing is hot the added side is empty and adaptive execution drops its join.
+    `load` shows how rows spread over `load_keys` (columns of both frames) and over `order`; it only steers the split and
+    never changes a rank. Its groups are counted at every size. Where one has more than `rows_per_task` rows, its rows
+    are cut at texts picked from the group itself, whatever these look like: each stretch between two cuts is ranked on
+    its own, and the rows of the earlier stretches are added. Equal texts lie in one stretch, so the sum is the rank over
+    the whole group. A stretch has about 1/64 of its group's rows, or `rows_per_task` if that is more. Only then is the
+    input read a second time, for the rows of each stretch; where no group is that large, a plain window is planned.
 
-    `split` forces the split on or off; by default it is on from a stated size of `load` upward. When on, rows come back
-    partitioned by the column `part`, which callers may carry through a distinct to reuse it; when off it is constant.
+    Rows come back partitioned by the column `part`, which callers may carry through a distinct to reuse it.
     """
-    if split is None:
-        size = size_bound(load)
-        split = size is None or size >= SPLIT_FROM_BYTES
     in_order = F.col(order).asc_nulls_last()
-    if not split:
+    marks = cuts(load, load_keys, order, rows_per_task)
+    if marks.isEmpty():
         place = F.rank().over(Window.partitionBy(*keys).orderBy(in_order))
         return df.withColumns({out: place.cast("long"), part: F.lit("")})
 
-    slot = F.pmod(F.xxhash64(*load_keys), F.lit(SLOTS))
-    counts = load.groupBy(slot.alias("_slot")).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
-    hot = (
-        counts.filter((F.col("_rows") >= hot_floor) & (F.col("_rows") > total * F.lit(hot_share)))
-        .select("_slot", F.lit(True).alias("_hot"))
-    )
-    # At most 1/hot_share rows by the filter above.
-    marked = df.withColumn("_slot", slot).join(F.broadcast(hot), "_slot", "left").drop("_slot")
+    side = marks.select(F.struct(*load_keys).alias("_group"), "_cuts")
+    marked = df.withColumn("_of", F.struct(*load_keys))
+    marked = marked.join(broadcast_within_limit(side), marked["_of"].eqNullSafe(side["_group"]), "left").drop("_of", "_group")
+    stretch = F.when(F.col(order).isNull(), MOST_CUTS + 1).otherwise(F.size(F.filter("_cuts", lambda c: c <= F.col(order))))
 
     # One struct as partition and join key: NULLs inside it compare equal, and the join needs no second exchange.
-    bucket = F.when(F.col("_hot"), F.substring(order, 1, prefix)).otherwise(F.lit(""))
+    bucket = F.when(F.col("_cuts").isNotNull(), stretch).otherwise(F.lit(0))
     others = [c for c in df.columns if c not in keys]
-    packed = marked.select(F.struct(*keys, bucket.alias("_bucket")).alias(part), *others, "_hot")
+    packed = marked.select(F.struct(*keys, bucket.alias("_bucket")).alias(part), *others, F.col("_cuts").isNotNull().alias("_hot"))
 
-    ranked = packed.withColumn(
-        "_local", F.rank().over(Window.partitionBy(part).orderBy(in_order))
-    ).drop("_hot")
+    ranked = packed.withColumn("_local", F.rank().over(Window.partitionBy(part).orderBy(in_order))).drop("_hot")
     sizes = packed.filter("_hot").groupBy(part).agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.partitionBy(*[f"{part}.{k}" for k in keys]).orderBy(F.col(f"{part}._bucket").asc_nulls_last())
+    earlier = Window.partitionBy(*[f"{part}.{k}" for k in keys]).orderBy(f"{part}._bucket")
     offsets = sizes.select(
         F.col(part).alias("_of"),
         F.sum("_rows").over(earlier.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
@@ -82,3 +65,18 @@ def rank_within(
         (F.col("_local") + F.coalesce("_before", F.lit(0))).cast("long").alias(out),
         part,
     )
+
+
+def cuts(load: DataFrame, keys: Sequence[str], order: str, rows_per_task: int) -> DataFrame:
+    """The texts at which to split each group of more than `rows_per_task` rows; combined before any shuffle."""
+    group = F.struct(*keys)
+    counts = load.groupBy(group.alias("_key")).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > rows_per_task)
+    rows = load.select(group.alias("_key"), F.col(order).alias("_text")).filter("_text is not null")
+    step = F.greatest(F.lit(1), F.floor(F.col("_rows") / SAMPLED))
+    # Texts are picked by their hash, so a text that repeats is picked as a whole or not at all.
+    picked = rows.join(broadcast_within_limit(counts, load), "_key").filter(F.pmod(F.xxhash64("_text"), step) == 0)
+    texts = picked.groupBy("_key", "_rows").agg(F.array_sort(F.collect_set("_text")).alias("_texts"))
+    wanted = F.least(F.lit(MOST_CUTS), F.ceil(4 * F.col("_rows") / rows_per_task)).cast("int")
+    every = F.greatest(F.lit(1), F.ceil(F.size("_texts") / wanted)).cast("int")
+    chosen = F.filter("_texts", lambda _, i: i % every == 0)
+    return texts.select("_key.*", chosen.alias("_cuts"))

@@ -7,28 +7,31 @@ from pyspark.sql import functions as F
 
 from parcelpay.functions.times import available_working_days, full_month, month_working_days, parse_stamp
 from parcelpay.functions.workers import worker_model
+from parcelpay.names import FACTS
 from parcelpay.operators.consignments import delivered
 from parcelpay.operators.lookups import band_join, master_join
 from parcelpay.operators.ranking import rank_within
-from parcelpay.rules import ANY_PRODUCT, PARTNER_CLASSES, PAYOUT_LABELS, SBU, ModelLabels
-from parcelpay.sources.tables import PayoutTables
+from parcelpay.rules import ANY_PRODUCT, PARTNER_CLASSES, SETTLEMENT_LABELS, SBU, ModelLabels
+from parcelpay.sources.tables import ReportTables
 
 
-def workers(tables: PayoutTables, labels: ModelLabels, wanted: Column | None = None) -> DataFrame:
+def workers(tables: ReportTables, labels: ModelLabels, wanted: Column | None = None) -> DataFrame:
     """Rider master with the worker model; `wanted` filters it before it meets the assignments."""
     riders = tables["biker_master"].withColumn("model", worker_model(F.col("associate"), F.col("attached_to"), labels))
     return riders if wanted is None else riders.filter(wanted)
 
 
-def assigned(tables: PayoutTables, riders: DataFrame, keep: dict[str, Column]) -> DataFrame:
+def assigned(
+    tables: ReportTables, riders: DataFrame, keep: dict[str, Column], sized_by: DataFrame | None = None
+) -> DataFrame:
     """Delivered consignments joined with their assignment and rider, one row per match.
 
     Riders are matched to the assignments first: only assignments of the wanted riders are shuffled. The one shuffle
-    of the facts is by consignment number.
+    of the facts is by consignment number. `sized_by` bounds the rows of `riders` where these come from a join.
     """
-    known = master_join(tables["biker_code_test"], riders, "worker_code", "biker_code", keep)
+    known = master_join(tables["biker_code_test"], riders, "worker_code", "biker_code", keep, sized_by=sized_by)
     known = known.drop("worker_code")
-    facts = delivered(tables["zpdn_table_payout"]).select(
+    facts = delivered(tables[FACTS]).select(
         "gpart",
         F.col("zzconsg_number").alias("consignment"),
         F.col("zzcharge_weight").alias("charge_weight"),
@@ -45,7 +48,7 @@ def assigned(tables: PayoutTables, riders: DataFrame, keep: dict[str, Column]) -
     ).withColumn("delivery_date", F.to_date("delivery_datetime"))
 
 
-def with_cluster(rows: DataFrame, tables: PayoutTables, key: str, keep: dict[str, Column]) -> DataFrame:
+def with_cluster(rows: DataFrame, tables: ReportTables, key: str, keep: dict[str, Column]) -> DataFrame:
     """Inner join with the centre master."""
     return master_join(rows, tables["cluster_master"], key, "vendor_code", keep)
 
@@ -62,9 +65,9 @@ def with_availability(rows: DataFrame) -> DataFrame:
     )
 
 
-def rider_consignments(tables: PayoutTables, with_category: bool = True) -> DataFrame:
+def rider_consignments(tables: ReportTables, with_category: bool = True) -> DataFrame:
     """Distinct consignments of bikers with the city and type of the centre that booked them."""
-    bikers = workers(tables, PAYOUT_LABELS, F.col("model") == PAYOUT_LABELS.biker)
+    bikers = workers(tables, SETTLEMENT_LABELS, F.col("model") == SETTLEMENT_LABELS.biker)
     keep = {
         "pc_code": F.col("pc_code"),
         "biker_code": F.col("biker_code"),
@@ -77,21 +80,24 @@ def rider_consignments(tables: PayoutTables, with_category: bool = True) -> Data
     rows = with_cluster(
         rows, tables, "gpart", {"pccity": F.upper("cluster_city"), "cm_type": F.col("type")}
     ).drop("gpart")
-    return rows.distinct()
+    # Like a distinct, but every column stays a key whatever a report needs, so its branches share one shuffle.
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
 
 
-def rider_rank(rows: DataFrame, tables: PayoutTables, **split) -> DataFrame:
+def rider_rank(rows: DataFrame, tables: ReportTables, **split) -> DataFrame:
     """Add the sequence number of the consignment in the rider's day.
 
     How assignments spread over riders tells which of them are too large for one task.
     """
-    load = tables["biker_code_test"].select(F.col("worker_code").alias("biker_code"))
+    load = tables["biker_code_test"].select(
+        F.col("worker_code").alias("biker_code"), F.col("reference_number").alias("consignment")
+    )
     return rank_within(
         rows, ["biker_code", "delivery_date"], "consignment", load=load, load_keys=["biker_code"], **split
     )
 
 
-def partner_slabs(tables: PayoutTables, model: str) -> DataFrame:
+def partner_slabs(tables: ReportTables, model: str) -> DataFrame:
     """Slabs that price all products of a partner class under one pricing model."""
     return tables["ndv_commercial_master"].filter(
         F.col("category").isin(*PARTNER_CLASSES)
@@ -101,7 +107,7 @@ def partner_slabs(tables: PayoutTables, model: str) -> DataFrame:
     )
 
 
-def with_rider_rate(rows: DataFrame, tables: PayoutTables) -> DataFrame:
+def with_rider_rate(rows: DataFrame, tables: ReportTables) -> DataFrame:
     """Add `rate_per_shipment` for the rank: the city slab at internal centres, the partner slab at external ones."""
     rows = band_join(
         rows,

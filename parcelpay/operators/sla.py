@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelpay.names import KIND
 from parcelpay.operators.lookups import band_join, master_join
 from parcelpay.rules import COMMERCIALS, SlaRules
-from parcelpay.sources.tables import PayoutTables
+from parcelpay.sources.tables import ReportTables
 
 METRICS = ("fad", "td", "scd")
 # Categories by the kind of shipments that have a TD score.
 ECOM, NONECOM, COMBINED = "E-commerce Shipments", "Non-Ecommerce Shipments", "Combined"
 
 
-def centre_scores(tables: PayoutTables) -> DataFrame:
+def centre_scores(tables: ReportTables) -> DataFrame:
     """Category and scores of internal centres: one side's score, or the mean where both sides have a TD score."""
     internal = tables["cluster_master"].filter(F.col("type") == "Internal")
     scores = master_join(tables["sla_table"], internal, "pc_code", "vendor_code", {})
@@ -74,8 +75,8 @@ def colour_percents(bands: DataFrame) -> DataFrame:
 
 
 def centre_months(summary: DataFrame, code: str) -> DataFrame:
-    """Pay per centre, model, payout type and month of a month summary."""
-    return summary.groupBy(F.col(code).alias("pc_code"), "model", "payout_type", "pay_out_month").agg(
+    """Pay per centre, model, kind of pay and month of a month summary."""
+    return summary.groupBy(F.col(code).alias("pc_code"), "model", KIND, "pay_out_month").agg(
         F.sum("payable_amount").alias("payable_amount")
     )
 
@@ -83,10 +84,10 @@ def centre_months(summary: DataFrame, code: str) -> DataFrame:
 def centre_commercials(months: DataFrame) -> DataFrame:
     """Commercials per centre and month.
 
-    The payout type is judged inside the aggregate rather than filtered before it, so that `months` stays one shared
+    The kind of pay is judged inside the aggregate rather than filtered before it, so that `months` stays one shared
     shuffle when a report also needs its other rows.
     """
-    is_commercial = F.col("payout_type") == COMMERCIALS
+    is_commercial = F.col(KIND) == COMMERCIALS
     sums = months.groupBy("pc_code", "pay_out_month").agg(
         F.sum(F.when(is_commercial, F.col("payable_amount"))).alias("commercial_amount"),
         F.coalesce(F.bool_or(is_commercial), F.lit(False)).alias("_any"),
@@ -99,7 +100,7 @@ def with_sla_pay(rows: DataFrame) -> DataFrame:
     percent = F.col("payables_percentage")
     paid = F.col("commercial_amount") * percent / 100
     return rows.withColumns(
-        {"sla_paid": paid, "payout_type": F.when(percent > 0, "INCENTIVE").when(percent < 0, "PENALTY")}
+        {"sla_paid": paid, KIND: F.when(percent > 0, "INCENTIVE").when(percent < 0, "PENALTY")}
     ).withColumn("total_payables", F.col("commercial_amount") + F.col("sla_paid"))
 
 

@@ -10,17 +10,17 @@ from parcelpay.functions.workers import worker_model
 from parcelpay.operators.consignments import open_upper
 from parcelpay.operators.lookups import band_join
 from parcelpay.operators.riders import assigned, partner_slabs, with_cluster, workers
-from parcelpay.rules import HVDI_LABELS, PAYOUT_LABELS, VehicleRules
-from parcelpay.sources.tables import PayoutTables
+from parcelpay.rules import HVDI_LABELS, SETTLEMENT_LABELS, VehicleRules
+from parcelpay.sources.tables import ReportTables
 
 
-def vehicle_consignments(tables: PayoutTables, with_category: bool = True) -> DataFrame:
+def vehicle_consignments(tables: ReportTables, with_category: bool = True) -> DataFrame:
     """Distinct consignments of vehicles with `copies`, how often each one came.
 
     Prices work on the distinct rows and day weights on all of them; one frame serves both, so the facts are scanned
     and shuffled once.
     """
-    vehicles = workers(tables, PAYOUT_LABELS, F.col("model") != PAYOUT_LABELS.biker)
+    vehicles = workers(tables, SETTLEMENT_LABELS, F.col("model") != SETTLEMENT_LABELS.biker)
     keep = {
         "vehicle_number": F.col("vehicle"),
         "vehicle_code": F.col("biker_code"),
@@ -37,7 +37,7 @@ def vehicle_consignments(tables: PayoutTables, with_category: bool = True) -> Da
     return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
 
 
-def with_vehicle_price(rows: DataFrame, tables: PayoutTables) -> DataFrame:
+def with_vehicle_price(rows: DataFrame, tables: ReportTables) -> DataFrame:
     """Add `commercials` and the guarantee of the worker model.
 
     Internal centres pay every slab whose lower limit the weight reaches, external ones the slabs that hold it.
@@ -77,8 +77,8 @@ def with_vehicle_price(rows: DataFrame, tables: PayoutTables) -> DataFrame:
         return slab_price(F.col("charge_weight"), high, base, step, rate, lower=low)
 
     commercials = F.when(F.col("cm_type") == "Internal", price("i")).when(F.col("cm_type") == "External", price("e"))
-    guarantee = F.when(F.col("model") == PAYOUT_LABELS.vehicle_with_boy, F.col("_with_boy")).when(
-        F.col("model") == PAYOUT_LABELS.vehicle_without_boy, F.col("_without_boy")
+    guarantee = F.when(F.col("model") == SETTLEMENT_LABELS.vehicle_with_boy, F.col("_with_boy")).when(
+        F.col("model") == SETTLEMENT_LABELS.vehicle_without_boy, F.col("_without_boy")
     )
     rows = rows.withColumns({"commercials": commercials, "guaranteed_amount": guarantee})
     return rows.drop(*[c for c in rows.columns if c.startswith("_")])

@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from parcelpay.functions.times import month_number, parse_stamp
 from parcelpay.functions.workers import worker_model
+from parcelpay.names import FACTS
 from parcelpay.operators.consignments import delivered
 from parcelpay.operators.lookups import master_join
-from parcelpay.rules import PAYOUT_LABELS
-from parcelpay.sources.tables import PayoutTables
+from parcelpay.rules import SETTLEMENT_LABELS
+from parcelpay.sources.tables import ReportTables
 
 
-def assignment_check(tables: PayoutTables) -> DataFrame:
+def assignment_check(tables: ReportTables) -> DataFrame:
     """Every delivered consignment of a known centre with its rider, or NULLs where none is assigned."""
-    facts = delivered(tables["zpdn_table_payout"]).select(
+    facts = delivered(tables[FACTS]).select(
         "zzconsg_number",
         "gpart",
         month_number(F.to_date(parse_stamp(F.col("zzdelivery_date")))).alias("pay_out_month"),
@@ -27,7 +28,7 @@ def assignment_check(tables: PayoutTables) -> DataFrame:
     riders = tables["biker_master"].select(
         F.col("biker_code"),
         "pc_code",
-        worker_model(F.col("associate"), F.col("attached_to"), PAYOUT_LABELS).alias("model"),
+        worker_model(F.col("associate"), F.col("attached_to"), SETTLEMENT_LABELS).alias("model"),
     )
     known = master_join(
         tables["biker_code_test"], riders, "worker_code", "biker_code",

@@ -6,37 +6,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelpay.functions.times import distinct_days, month_label, year_number
+from parcelpay.names import KIND
 from parcelpay.operators.hvdi import rider_hvdi
 from parcelpay.operators.riders import rider_consignments, rider_rank, with_availability, with_rider_rate
 from parcelpay.rules import COMMERCIALS, BikerRules
-from parcelpay.sources.tables import PayoutTables
+from parcelpay.sources.tables import ReportTables
 
 _DETAIL = [
     "delivery_date", "delivery_datetime", "handover_datetime", "pay_out_month", "pay_out_year", "pincode", "sbu",
-    "model", "charge_weight", "consignment", "rank", "rate_per_shipment", "payout_type",
+    "model", "charge_weight", "consignment", "rank", "rate_per_shipment", KIND,
 ]
 
 
-def _rated(rows: DataFrame, tables: PayoutTables, **split) -> DataFrame:
+def _rated(rows: DataFrame, tables: ReportTables, **split) -> DataFrame:
     """Ranked and rated consignments. They stay partitioned by rider and day, or by `_part` when groups are split."""
     rated = with_rider_rate(rider_rank(rows, tables, **split), tables)
     return rated.withColumns(
         {
             "pay_out_month": month_label(F.col("delivery_date")),
             "pay_out_year": year_number(F.col("delivery_date")),
-            "payout_type": F.lit(COMMERCIALS),
+            KIND: F.lit(COMMERCIALS),
         }
     )
 
 
-def biker_con_level(tables: PayoutTables, **split) -> DataFrame:
+def biker_con_level(tables: ReportTables, **split) -> DataFrame:
     """Consignments of bikers with their sequence number in the day and rate."""
     rated = _rated(rider_consignments(tables), tables, **split)
     columns = ["pc_code", "biker_code", "vendor_category", "onboarding_date", *_DETAIL]
     return rated.select(*columns, "_part").distinct().drop("_part")
 
 
-def biker_detailed(tables: PayoutTables, **split) -> DataFrame:
+def biker_detailed(tables: ReportTables, **split) -> DataFrame:
     """Rider days: commercials with count, highest rate and sum, and high-volume incentives."""
     rows = rider_consignments(tables, with_category=False)
     lines = _rated(rows, tables, **split)
@@ -44,26 +45,26 @@ def biker_detailed(tables: PayoutTables, **split) -> DataFrame:
     keys = [
         "pc_code", "biker_code", "onboarding_date", "delivery_date", "pay_out_month", "pay_out_year", "sbu", "model",
     ]
-    money = ["no_of_consignments", "rate", "payables", "payout_type"]
-    days = lines.groupBy(*keys, "payout_type").agg(
+    money = ["no_of_consignments", "rate", "payables", KIND]
+    days = lines.groupBy(*keys, KIND).agg(
         F.count("consignment").alias("no_of_consignments"),
         F.max("rate_per_shipment").alias("rate"),
         F.sum("rate_per_shipment").alias("payables"),
     )
     hvdi = rider_hvdi(rows, tables["hvdi_incentive"]).select(*keys, *money).distinct()
-    # Each side is distinct and the payout type tells them apart.
+    # Each side is distinct and the kind of pay tells them apart.
     return days.select(*keys, *money).unionByName(hvdi)
 
 
 _MONTH_KEYS = ["pc_code", "vendor_category", "biker_code", "onboarding_date", "pay_out_month", "pay_out_year", "model"]
 _MONTH_METRICS = [
     "no_of_days_delivered", "total_consignments", "productivity", "attendance", "no_of_total_working_days",
-    "available_for_the_complete_month", "guaranteedamount", "total_commercials", "payable_amount", "payout_type",
+    "available_for_the_complete_month", "guaranteedamount", "total_commercials", "payable_amount", KIND,
     "cm_type",
 ]
 
 
-def biker_summary(tables: PayoutTables, rules: BikerRules | None = None, **split) -> DataFrame:
+def biker_summary(tables: ReportTables, rules: BikerRules | None = None, **split) -> DataFrame:
     """Rider months: attendance, productivity, guarantee and pay, and high-volume incentives."""
     rules = rules or BikerRules()
     rows = rider_consignments(tables)
@@ -87,7 +88,7 @@ def biker_summary(tables: PayoutTables, rules: BikerRules | None = None, **split
             "guaranteed_amount",
             "no_of_total_working_days",
             "available_for_the_complete_month",
-            "payout_type",
+            KIND,
             "no_of_working_days_in_a_month",
             "cm_type",
         )
@@ -125,7 +126,7 @@ def biker_summary(tables: PayoutTables, rules: BikerRules | None = None, **split
     )
     commercials = months.withColumn("payable_amount", pay).select(*_MONTH_KEYS, *_MONTH_METRICS).distinct()
 
-    hvdi = rider_hvdi(rows, tables["hvdi_incentive"]).groupBy(*_MONTH_KEYS, "payout_type", "cm_type")
+    hvdi = rider_hvdi(rows, tables["hvdi_incentive"]).groupBy(*_MONTH_KEYS, KIND, "cm_type")
     hvdi = hvdi.agg(F.sum("payables").alias("payable_amount")).withColumns(
         {
             **{c: F.lit(0).cast("long") for c in ("no_of_days_delivered", "total_consignments", "attendance")},
@@ -134,5 +135,5 @@ def biker_summary(tables: PayoutTables, rules: BikerRules | None = None, **split
             "available_for_the_complete_month": F.lit(" "),
         }
     )
-    # Each side is distinct and the payout type tells them apart.
+    # Each side is distinct and the kind of pay tells them apart.
     return commercials.unionByName(hvdi.select(*_MONTH_KEYS, *_MONTH_METRICS))

@@ -31,7 +31,7 @@ from parcelpay.operators.consignments import (
 )
 from parcelpay.operators.kpi import KPI_NAMES, kpi_percents, with_kpi
 from parcelpay.rules import NO_RATE_REMARK, NO_SLAB_REMARK, VendorRules
-from parcelpay.sources.tables import PayoutTables
+from parcelpay.sources.tables import ReportTables
 
 WEIGHT, SHIPMENT = "Weight", "Shipment"
 _IDENTITY = ["vendor_code", "vendor_name", "consignment_number", "zzcharge_weight", "dox_type", "category_model"]
@@ -56,7 +56,7 @@ class _Inputs:
     penalties: DataFrame
 
 
-def _inputs(tables: PayoutTables, rules: VendorRules, with_time: bool = False) -> _Inputs:
+def _inputs(tables: ReportTables, rules: VendorRules, with_time: bool = False) -> _Inputs:
     read = read_consignments(tables, rules)
     return _Inputs(
         rules=rules,
@@ -120,23 +120,23 @@ def _shipment_con(inputs: _Inputs) -> DataFrame:
     return _con_level(_shipment_rows(inputs), "delivery_datetime", "handover_datetime")
 
 
-def weight_con_level(tables: PayoutTables, rules: VendorRules | None = None) -> DataFrame:
+def weight_con_level(tables: ReportTables, rules: VendorRules | None = None) -> DataFrame:
     """Consignments on weight pricing."""
     return _weight_con(_inputs(tables, rules or VendorRules.v1()))
 
 
-def shipment_con_level(tables: PayoutTables, rules: VendorRules | None = None) -> DataFrame:
+def shipment_con_level(tables: ReportTables, rules: VendorRules | None = None) -> DataFrame:
     """Consignments on per-shipment pricing."""
     return _shipment_con(_inputs(tables, rules or VendorRules.v1()))
 
 
-def combined_con_level(tables: PayoutTables, rules: VendorRules | None = None) -> DataFrame:
+def combined_con_level(tables: ReportTables, rules: VendorRules | None = None) -> DataFrame:
     """Consignments of both pricing models."""
     inputs = _inputs(tables, rules or VendorRules.v1())
     return _weight_con(inputs).union(_shipment_con(inputs))
 
 
-def con_level_with_logs(tables: PayoutTables, rules: VendorRules | None = None) -> DataFrame:
+def con_level_with_logs(tables: ReportTables, rules: VendorRules | None = None) -> DataFrame:
     """Consignments of both pricing models and of products without a rate, with the reason for a missing amount."""
     inputs = _inputs(tables, rules or VendorRules.v2(cod_sign=-1), with_time=True)
     unmodelled = F.col("category_model").isNull()
@@ -234,17 +234,17 @@ def _v2_months() -> dict[str, Column]:
     return {"pay_out_month": month_label(day), "pay_out_year": year_number(day)}
 
 
-def weight_detailed(tables: PayoutTables, rules: VendorRules | None = None) -> DataFrame:
+def weight_detailed(tables: ReportTables, rules: VendorRules | None = None) -> DataFrame:
     """Day view of the weight model."""
     return _day_level(_weight_rows(_inputs(tables, rules or VendorRules.v1())), _v1_months())
 
 
-def shipment_detailed(tables: PayoutTables, rules: VendorRules | None = None) -> DataFrame:
+def shipment_detailed(tables: ReportTables, rules: VendorRules | None = None) -> DataFrame:
     """Day view of the shipment model."""
     return _day_level(_shipment_rows(_inputs(tables, rules or VendorRules.v1())), _v1_months())
 
 
-def combined_detailed(tables: PayoutTables, rules: VendorRules | None = None) -> DataFrame:
+def combined_detailed(tables: ReportTables, rules: VendorRules | None = None) -> DataFrame:
     """Day view of both models; late remittance shows as a negative amount."""
     inputs = _inputs(tables, rules or VendorRules.v2(cod_sign=-1))
     weight = _day_level(_weight_rows(inputs), _v2_months())
@@ -254,7 +254,7 @@ def combined_detailed(tables: PayoutTables, rules: VendorRules | None = None) ->
 # ---- month level ----------------------------------------------------------------------------------------------------
 
 
-def combined_summary(tables: PayoutTables, rules: VendorRules | None = None) -> DataFrame:
+def combined_summary(tables: ReportTables, rules: VendorRules | None = None) -> DataFrame:
     """Vendor and month: consignments delivered, eligible and failed, days, amounts and the total payable."""
     rules = rules or VendorRules.v2(cod_sign=1)
     days = combined_detailed(tables, rules)

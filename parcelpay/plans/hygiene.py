@@ -10,12 +10,12 @@ from parcelpay.operators.calendar import date_spine, month_calendar, week_calend
 from parcelpay.operators.lookups import master_join
 from parcelpay.operators.riders import assigned, workers
 from parcelpay.rules import HYGIENE_LABELS, HygieneRules
-from parcelpay.sources.tables import PayoutTables
+from parcelpay.sources.tables import ReportTables
 
 _RIDER = ["pc_code", "biker_code", "vendor_category"]
 
 
-def internal_deliveries(tables: PayoutTables) -> DataFrame:
+def internal_deliveries(tables: ReportTables) -> DataFrame:
     """Distinct delivered consignments of riders of internal centres; the centre filter sits on the rider side."""
     riders = workers(tables, HYGIENE_LABELS)
     internal = tables["cluster_master"].filter(F.col("type") == "Internal")
@@ -27,7 +27,8 @@ def internal_deliveries(tables: PayoutTables) -> DataFrame:
         "onboarding_date": F.col("actvtn_date"),
         "model": F.col("model"),
     }
-    rows = assigned(tables, riders, keep)
+    # A centre has one row, so the join above keeps the riders' number.
+    rows = assigned(tables, riders, keep, sized_by=tables["biker_master"])
     return rows.select(
         *keep, "consignment", "delivery_datetime", "handover_datetime", "delivery_date"
     ).distinct()
@@ -84,7 +85,7 @@ def closure_failures(rows: DataFrame, rules: HygieneRules) -> DataFrame:
     )
 
 
-def hygiene_incentive(tables: PayoutTables, rules: HygieneRules) -> DataFrame:
+def hygiene_incentive(tables: ReportTables, rules: HygieneRules) -> DataFrame:
     """Rider months with Sunday, closure and total incentive."""
     rows = internal_deliveries(tables)
     spine = date_spine(rows.sparkSession, rules.start, rules.as_of)
@@ -107,9 +108,9 @@ def hygiene_incentive(tables: PayoutTables, rules: HygieneRules) -> DataFrame:
     ).withColumn("total_incentives", F.col("sunday_incentive") + F.col("consignment_closure_incentive"))
 
 
-def hygiene_incentive_biker(tables: PayoutTables, rules: HygieneRules | None = None) -> DataFrame:
+def hygiene_incentive_biker(tables: ReportTables, rules: HygieneRules | None = None) -> DataFrame:
     return hygiene_incentive(tables, rules or HygieneRules.biker())
 
 
-def hygiene_incentive_vehicle(tables: PayoutTables, rules: HygieneRules | None = None) -> DataFrame:
+def hygiene_incentive_vehicle(tables: ReportTables, rules: HygieneRules | None = None) -> DataFrame:
     return hygiene_incentive(tables, rules or HygieneRules.vehicle())

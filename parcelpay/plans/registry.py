@@ -13,31 +13,31 @@ from parcelpay.operators import sla as scores
 from parcelpay.operators import consignments as con
 from parcelpay.plans import assignment, biker, hygiene, sla, vehicle, vendor_total
 from parcelpay.plans import consignments as vendor
-from parcelpay.rules import PAYOUT_LABELS, HygieneRules, SlaRules, VendorRules
+from parcelpay.rules import SETTLEMENT_LABELS, HygieneRules, SlaRules, VendorRules
 from parcelpay.session import tune
 from parcelpay.sources.star import star_tables
-from parcelpay.sources.tables import PayoutTables
+from parcelpay.sources.tables import ReportTables
 
 # Fixed values of the registered runs, so that results can be compared.
 AS_OF = date(2023, 3, 31)
 TWO_YEARS = date(2024, 12, 31)
 RUN_TS = datetime(2023, 4, 1, 6, 0, 0)
 
-Report = Callable[[PayoutTables], DataFrame]
+Report = Callable[[ReportTables], DataFrame]
 
 
-def _consignments(t: PayoutTables, rules: VendorRules) -> DataFrame:
+def _consignments(t: ReportTables, rules: VendorRules) -> DataFrame:
     return con.vendor_consignments(con.read_consignments(t, rules), t, rules)
 
 
-def _pricing_models(t: PayoutTables) -> DataFrame:
+def _pricing_models(t: ReportTables) -> DataFrame:
     rows = _consignments(t, VendorRules.v2())
     return rows.groupBy("vendor_code", "dox_type", "product", "category_model").agg(
         F.count_distinct("consignment_number").alias("consignments")
     )
 
 
-def _weight_slab_prices(t: PayoutTables) -> DataFrame:
+def _weight_slab_prices(t: ReportTables) -> DataFrame:
     rules = VendorRules.v2()
     rows = _consignments(t, rules).filter(F.col("category_model") == vendor.WEIGHT)
     priced = con.price_by_weight(rows.distinct(), con.rates_in_force(t, rules), rules)
@@ -45,14 +45,14 @@ def _weight_slab_prices(t: PayoutTables) -> DataFrame:
     return priced.groupBy(*keys).agg(F.count(F.lit(1)).alias("slab_rows"))
 
 
-def _shipment_ranks(t: PayoutTables, grain: str) -> DataFrame:
+def _shipment_ranks(t: ReportTables, grain: str) -> DataFrame:
     rules = VendorRules.v2().with_(rank_grain=grain)
     rows = _consignments(t, rules).filter(F.col("category_model") == vendor.SHIPMENT)
     columns = ["vendor_code", "consignment_number", "delivered_at", "product", "eligible", "rank"]
     return con.shipment_rank(rows, con.read_consignments(t, rules), rules).select(*columns)
 
 
-def _rider_hvdi(t: PayoutTables) -> DataFrame:
+def _rider_hvdi(t: ReportTables) -> DataFrame:
     days = hvdi.rider_hvdi(riders.rider_consignments(t), t["hvdi_incentive"])
     return days.select(
         "pc_code", "biker_code", "vendor_category", "delivery_date", "no_of_consignments", "rate",
@@ -60,9 +60,9 @@ def _rider_hvdi(t: PayoutTables) -> DataFrame:
     )
 
 
-def _worker_availability(t: PayoutTables) -> DataFrame:
+def _worker_availability(t: ReportTables) -> DataFrame:
     keep = {c: F.col(c) for c in ("biker_code", "pc_code")} | {"onboarding_date": F.col("actvtn_date")}
-    rows = riders.assigned(t, riders.workers(t, PAYOUT_LABELS), keep)
+    rows = riders.assigned(t, riders.workers(t, SETTLEMENT_LABELS), keep)
     rows = riders.with_cluster(rows, t, "gpart", {})
     days = rows.groupBy("biker_code", "pc_code", "onboarding_date", "delivery_date").agg(
         F.count(F.lit(1)).alias("deliveries")
@@ -70,7 +70,7 @@ def _worker_availability(t: PayoutTables) -> DataFrame:
     return riders.with_availability(days)
 
 
-def _hygiene_week_flags(t: PayoutTables) -> DataFrame:
+def _hygiene_week_flags(t: ReportTables) -> DataFrame:
     rules = HygieneRules.biker(AS_OF)
     rows = hygiene.internal_deliveries(t)
     spine = calendar.date_spine(rows.sparkSession, rules.start, rules.as_of)
@@ -78,14 +78,14 @@ def _hygiene_week_flags(t: PayoutTables) -> DataFrame:
     return weeks.drop("model")
 
 
-def _with_summaries(t: PayoutTables) -> PayoutTables:
+def _with_summaries(t: ReportTables) -> ReportTables:
     """Hand the month summaries to the reports that read them."""
     return t.with_frames(
         **{sla.BIKER_SUMMARY: biker.biker_summary(t), sla.VEHICLE_SUMMARY: vehicle.vehicle_summary(t)}
     )
 
 
-def _sla_colours(t: PayoutTables) -> DataFrame:
+def _sla_colours(t: ReportTables) -> DataFrame:
     return scores.centre_colours(scores.centre_scores(t), t["sla_master_table"], SlaRules())
 
 

@@ -6,30 +6,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelpay.functions.times import distinct_days, month_label, year_number
+from parcelpay.names import KIND
 from parcelpay.operators.riders import with_availability
 from parcelpay.operators.vehicles import vehicle_consignments, vehicle_hvdi, with_vehicle_price
 from parcelpay.rules import COMMERCIALS, HVDI, SBU, VehicleRules
-from parcelpay.sources.tables import PayoutTables
+from parcelpay.sources.tables import ReportTables
 
 _DETAIL = [
     "vehicle_number", "vehicle_code", "vendor_code", "onboarding_date", "delivery_date", "delivery_datetime",
     "handover_datetime", "pay_out_month", "pay_out_year", "product", "pincode", "sbu", "model", "consignment",
-    "charge_weight", "no_of_consignment_number", "incentives", "payables", "payout_type", "cm_type",
+    "charge_weight", "no_of_consignment_number", "incentives", "payables", KIND, "cm_type",
 ]
 
 
-def _with_month(rows: DataFrame, payout_type: str) -> DataFrame:
+def _with_month(rows: DataFrame, kind: str) -> DataFrame:
     return rows.withColumns(
         {
             "pay_out_month": month_label(F.col("delivery_date")),
             "pay_out_year": year_number(F.col("delivery_date")),
             "sbu": F.lit(SBU),
-            "payout_type": F.lit(payout_type),
+            KIND: F.lit(kind),
         }
     )
 
 
-def vehicle_detailed(tables: PayoutTables, rules: VehicleRules | None = None) -> DataFrame:
+def vehicle_detailed(tables: ReportTables, rules: VehicleRules | None = None) -> DataFrame:
     """Priced consignments of vehicles, and their high-volume incentives by day."""
     rules = rules or VehicleRules()
     rows = vehicle_consignments(tables, with_category=False)
@@ -50,11 +51,11 @@ def vehicle_detailed(tables: PayoutTables, rules: VehicleRules | None = None) ->
             "consignment": F.lit("0"),
         }
     )
-    # Each side is distinct and the payout type tells them apart.
+    # Each side is distinct and the kind of pay tells them apart.
     return priced.select(*_DETAIL).distinct().unionByName(hvdi.select(*_DETAIL).distinct())
 
 
-def vehicle_detailed_weight_hvdi(tables: PayoutTables) -> DataFrame:
+def vehicle_detailed_weight_hvdi(tables: ReportTables) -> DataFrame:
     return vehicle_detailed(tables, VehicleRules(hvdi_basis="weight"))
 
 
@@ -65,11 +66,11 @@ _MONTH_KEYS = [
 _MONTH_METRICS = [
     "no_of_days_delivered", "no_of_consignments", "productivity", "no_of_working_days_in_a_month",
     "no_of_total_working_days", "attendance", "available_for_the_complete_month", "guaranteed_amount",
-    "guaranteed_payables", "commercials_payables", "payable_amount", "payout_type",
+    "guaranteed_payables", "commercials_payables", "payable_amount", KIND,
 ]
 
 
-def vehicle_summary(tables: PayoutTables, rules: VehicleRules | None = None) -> DataFrame:
+def vehicle_summary(tables: ReportTables, rules: VehicleRules | None = None) -> DataFrame:
     """Vehicle months: attendance, productivity, guarantee and pay, and high-volume incentives."""
     rules = rules or VehicleRules()
     rows = vehicle_consignments(tables)
@@ -80,7 +81,7 @@ def vehicle_summary(tables: PayoutTables, rules: VehicleRules | None = None) ->
         "no_of_working_days_in_a_month",
         "no_of_total_working_days",
         "guaranteed_amount",
-        "payout_type",
+        KIND,
         "available_for_the_complete_month",
     ).agg(
         distinct_days(F.col("delivery_date")).alias("no_of_days_delivered"),
@@ -107,7 +108,7 @@ def vehicle_summary(tables: PayoutTables, rules: VehicleRules | None = None) ->
     commercials = months.withColumn("payable_amount", pay)
 
     hvdi = _with_month(vehicle_hvdi(rows, tables["vehicle_hvdi"], rules), HVDI)
-    hvdi = hvdi.withColumn("onboarding_date", F.lit(None).cast("date")).groupBy(*_MONTH_KEYS, "payout_type")
+    hvdi = hvdi.withColumn("onboarding_date", F.lit(None).cast("date")).groupBy(*_MONTH_KEYS, KIND)
     hvdi = hvdi.agg(F.sum("payables").alias("payable_amount")).withColumns(
         {
             **{
@@ -124,10 +125,10 @@ def vehicle_summary(tables: PayoutTables, rules: VehicleRules | None = None) ->
             "available_for_the_complete_month": F.lit(" "),
         }
     )
-    # Every group key is an output column, so the sides are distinct; the payout type tells them apart.
+    # Every group key is an output column, so the sides are distinct; the kind of pay tells them apart.
     columns = [*_MONTH_KEYS, *_MONTH_METRICS]
     return commercials.select(*columns).unionByName(hvdi.select(*columns))
 
 
-def vehicle_summary_weight_hvdi(tables: PayoutTables) -> DataFrame:
+def vehicle_summary_weight_hvdi(tables: ReportTables) -> DataFrame:
     return vehicle_summary(tables, VehicleRules(hvdi_basis="weight", attendance_min=90))

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelpay.names import KIND
 from parcelpay.operators.sla import centre_commercials, centre_months
 from parcelpay.plans.sla import BIKER_SUMMARY, VEHICLE_SUMMARY, sla_pay
 from parcelpay.rules import COMMERCIALS, HVDI, SlaRules
-from parcelpay.sources.tables import PayoutTables
+from parcelpay.sources.tables import ReportTables
 
 
 def vendor_summary(
-    tables: PayoutTables, rules: SlaRules | None = None, merge_equal_models: bool = True
+    tables: ReportTables, rules: SlaRules | None = None, merge_equal_models: bool = True
 ) -> DataFrame:
     """Centre with its three parts and their total, one row per month of service-level pay.
 
@@ -22,13 +23,13 @@ def vendor_summary(
     riders = centre_months(tables[BIKER_SUMMARY], "pc_code")
     vehicles = centre_months(tables[VEHICLE_SUMMARY], "vendor_code")
     models = [
-        months.groupBy("pc_code", "model", "payout_type").agg(F.sum("payable_amount").alias("amount"))
+        months.groupBy("pc_code", "model", KIND).agg(F.sum("payable_amount").alias("amount"))
         for months in (vehicles, riders)
     ]
     sums = models[0].unionByName(models[1])
     if merge_equal_models:
-        sums = sums.select("pc_code", "amount", "payout_type").distinct()
-    commercial, hvdi = F.col("payout_type") == COMMERCIALS, F.col("payout_type") == HVDI
+        sums = sums.select("pc_code", "amount", KIND).distinct()
+    commercial, hvdi = F.col(KIND) == COMMERCIALS, F.col(KIND) == HVDI
     centres = (
         sums.groupBy("pc_code")
         .agg(

@@ -1,7 +1,9 @@
-"""Rule versions of the payout reports, as frozen values passed to the report functions."""
+"""Rule versions of the pay reports, as frozen values passed to the report functions."""
 
 from __future__ import annotations
 
+from parcelpay.names import FACTS, FACTS_V1
+
 from dataclasses import dataclass, field, replace
 from datetime import date, datetime
 
@@ -31,7 +33,7 @@ class ModelLabels:
 
 
 # One label set per use.
-PAYOUT_LABELS = ModelLabels(
+SETTLEMENT_LABELS = ModelLabels(
     "BIKER COMMERCIALS", "VEHICLE WITH DELIVERY BOY COMMERCIALS", "VEHICLE WITHOUT DELIVERY BOY COMMERCIALS"
 )
 HVDI_LABELS = ModelLabels("BIKER COMMERCIALS", "Vehicle_with_Delivery_boy", "Vehicle_without_Delivery_boy")
@@ -58,11 +60,11 @@ class VendorRules:
 
     @staticmethod
     def v1() -> "VendorRules":
-        return VendorRules("ndv_payout", "category", None, False, False, True, False)
+        return VendorRules(FACTS_V1, "category", None, False, False, True, False)
 
     @staticmethod
     def v2(cod_sign: int = 1) -> "VendorRules":
-        return VendorRules("zpdn_table_payout", "commercial_category", "Delivery", True, True, False, True, cod_sign)
+        return VendorRules(FACTS, "commercial_category", "Delivery", True, True, False, True, cod_sign)
 
     def with_(self, **changes) -> "VendorRules":
         return replace(self, **changes)

@@ -7,6 +7,8 @@ that keys are as uneven as in practice.
 
 from __future__ import annotations
 
+from parcelpay.names import FACTS, FACTS_V1
+
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -20,6 +22,7 @@ class Dialect:
     stamp: str  # date-time text of {0}
     add_hours: str  # {0} plus {1} hours
     add_days: str  # date {0} plus {1} days
+    base36: str  # whole number {0} in base 36, upper case
     spark: bool
 
     def stamp_of(self, expr: str) -> str:
@@ -39,13 +42,15 @@ class Dialect:
         return f"CROSS JOIN (VALUES {', '.join(f'({r})' for r in rows)}) AS r({names})"
 
 
-SPARK = Dialect("date_format({0}, 'dd-MM-yyyy HH:mm:ss')", "timestampadd(HOUR, {1}, {0})", "date_add({0}, {1})", True)
-DUCKDB = Dialect("strftime({0}, '%d-%m-%Y %H:%M:%S')", "({0} + to_hours({1}))", "({0} + CAST({1} AS INTEGER))", False)
+SPARK = Dialect("date_format({0}, 'dd-MM-yyyy HH:mm:ss')", "timestampadd(HOUR, {1}, {0})", "date_add({0}, {1})", "conv(CAST({0} AS STRING), 10, 36)", True)
+DUCKDB = Dialect("strftime({0}, '%d-%m-%Y %H:%M:%S')", "({0} + to_hours({1}))", "({0} + CAST({1} AS INTEGER))", "to_base({0}, 36)", False)
 
 # Products of the priorities 1 to 5, in the spelling of the facts and of the masters.
 FACT_PRODUCTS = ("Premium", "EXPRESS", "Lite", "Cargo", "Unrated")
 MASTER_PRODUCTS = ("Premium", "Express", "Lite", "Cargo")
 _NULL = "CAST(NULL AS DOUBLE)"
+# The end of a highest slab: more parcels or kilograms than any day, rider or vehicle can reach.
+_TOP = 1_000_000_000
 
 
 def _rate(product, dox, model, low, high, amount, step=None, step_amount=None, service="Delivery", until="2023-12-31"):
@@ -72,8 +77,8 @@ def _rates() -> list[str]:
     rows.append(_rate("Express", "Both", "Weight", 15, 20, 400, 5, 500, until="2023-03-15"))
     for dox in ("Dox", "Non-Dox"):
         rows.append(_rate("Lite", dox, "Shipment", 1, 2, 100))
-        rows.append(_rate("Lite", dox, "Shipment", 3, 1000, 200))
-    rows.append(_rate("Cargo", "Both", "Shipment", 1, 1000, 100))
+        rows.append(_rate("Lite", dox, "Shipment", 3, _TOP, 200))
+    rows.append(_rate("Cargo", "Both", "Shipment", 1, _TOP, 100))
     return rows
 
 
@@ -82,12 +87,17 @@ def _partner_rates() -> list[str]:
         _rate("All Products", "Both", "Weight", 0, 10, 150),
         _rate("All Products", "Both", "Weight", 10, 20, 250, 1, 100),
         _rate("All Products", "Both", "Shipment", 1, 20, 120),
-        _rate("All Products", "Both", "Shipment", 21, 1000, 180),
+        _rate("All Products", "Both", "Shipment", 21, _TOP, 180),
     ]
 
 
-def _code(letter: str, number: str) -> str:
-    return f"'{letter}' || lpad(CAST({number} AS STRING), 5, '0')"
+def padded(text: str, width: int) -> str:
+    """`text` with leading zeros to at least `width` characters; a longer one is kept whole."""
+    return f"lpad({text}, CAST(greatest({width}, length({text})) AS INT), '0')"
+
+
+def code(letter: str, number: str) -> str:
+    return f"'{letter}' || {padded(f'CAST({number} AS STRING)', 5)}"
 
 
 def table_sql(d: Dialect) -> dict[str, str]:
@@ -99,9 +109,9 @@ def table_sql(d: Dialect) -> dict[str, str]:
         FROM lineitem GROUP BY l_orderkey, l_linenumber"""
     t["parcel"] = f"""
         SELECT x.*,
-               {_code('V', "CASE WHEN o % 4 = 0 THEN sk ELSE rider END")} AS centre_code,
-               {_code('B', "rider")} AS rider_code,
-               'C' || lpad(CAST(o * 10 + n AS STRING), 8, '0') AS short_number,
+               {code('V', "CASE WHEN o % 4 = 0 THEN sk ELSE rider END")} AS centre_code,
+               {code('B', "rider")} AS rider_code,
+               'C' || {padded(d.base36.format('(o * 10 + n)'), 8)} AS short_number,
                {d.hours(d.hours("TIMESTAMP '2023-01-01 08:00:00'", "24 * ((o + n * 13) % 90)"), "pk % 12")} AS delivered
         FROM (SELECT l_orderkey AS o, l_linenumber AS n, pk, sk, qty, disc, tax, rf, ls,
                      substr(o_orderpriority, 1, 1) AS priority, o_orderstatus AS status,
@@ -109,7 +119,7 @@ def table_sql(d: Dialect) -> dict[str, str]:
                           WHEN pk % 16 < 12 THEN pk % 4 ELSE 4 + pk % 4 END AS rider
               FROM line JOIN orders ON l_orderkey = o_orderkey) x"""
     products = " ".join(f"WHEN '{i}' THEN '{p}'" for i, p in enumerate(FACT_PRODUCTS, start=1))
-    t["zpdn_table_payout"] = f"""
+    t[FACTS] = f"""
         SELECT centre_code AS gpart,
                short_number || CASE WHEN o % 2 = 0 THEN '001' ELSE '' END AS zzconsg_number,
                CASE WHEN pk % 4 = 0 THEN qty / 64 ELSE qty / 2 END AS zzcharge_weight,
@@ -121,7 +131,7 @@ def table_sql(d: Dialect) -> dict[str, str]:
                lpad(CAST(pk % 1000 AS STRING), 6, '0') AS zzdest_pincode,
                CASE priority {products} END AS product
         FROM parcel"""
-    t["ndv_payout"] = "SELECT * FROM zpdn_table_payout"
+    t[FACTS_V1] = f"SELECT * FROM {FACTS}"
     t["cod_remittance"] = f"""
         SELECT short_number AS con_number, CAST(delivered AS DATE) AS delivery_date,
                {d.stamp_of('delivered')} AS delivery_date_timestamp,
@@ -132,7 +142,7 @@ def table_sql(d: Dialect) -> dict[str, str]:
                rider_code AS worker_code
         FROM parcel WHERE disc > 0"""
     t["centre"] = f"""
-        SELECT s_suppkey AS s, {_code('V', 's_suppkey')} AS code, s_name,
+        SELECT s_suppkey AS s, {code('V', 's_suppkey')} AS code, s_name,
                'City' || CAST(s_nationkey % 5 AS STRING) AS city,
                CASE WHEN s_suppkey % 3 = 2 THEN 'External' ELSE 'Internal' END AS type
         FROM supplier"""
@@ -154,7 +164,7 @@ def table_sql(d: Dialect) -> dict[str, str]:
                CAST(80 + s * 3 % 20 AS DOUBLE) AS td, CAST(80 + s * 11 % 20 AS DOUBLE) AS scd
         FROM centre {d.per_row(("product",), [f"'{p}'" for p in MASTER_PRODUCTS])}"""
     bands = [
-        f"('{kpi}', '{product}', {low}.0D, {high}.0D, {percent}.0D)"
+        f"('{kpi}', '{product}', {low}, {high}, {percent})"
         for kpi in ("FAD", "TD", "SCD")
         for product in MASTER_PRODUCTS
         for low, high, percent in ((0, 85, -10), (86, 92, 0), (93, 100, 10))
@@ -163,13 +173,13 @@ def table_sql(d: Dialect) -> dict[str, str]:
         SELECT kpi_name, product, CAST(sla_from AS DOUBLE) AS sla_from, CAST(sla_to AS DOUBLE) AS sla_to,
                CAST(sla_percent AS DOUBLE) AS sla_percent, CAST('2022-01-01' AS DATE) AS from_date,
                CAST('2023-12-31' AS DATE) AS to_date
-        FROM (VALUES {', '.join(bands).replace('.0D', '')})
+        FROM (VALUES {', '.join(bands)})
              AS v(kpi_name, product, sla_from, sla_to, sla_percent)"""
     t["biker_master"] = f"""
-        SELECT {_code('B', 'c')} AS biker_code,
-               {_code('V', "CASE WHEN c < 8 THEN c ELSE c % 10 END")} AS pc_code,
+        SELECT {code('B', 'c')} AS biker_code,
+               {code('V', "CASE WHEN c < 8 THEN c ELSE c % 10 END")} AS pc_code,
                CASE c % 3 WHEN 2 THEN 'PCC - External' ELSE 'PCC - Internal' END AS pcc_master,
-               'KA' || lpad(CAST(c AS STRING), 6, '0') AS vehicle,
+               'KA' || {padded('CAST(c AS STRING)', 6)} AS vehicle,
                CASE WHEN c % 8 < 4 THEN 'NO' WHEN c % 8 = 7 THEN 'no' ELSE 'YES' END AS associate,
                CASE WHEN c % 8 < 4 THEN 'NA' WHEN c % 8 = 6 THEN 'na' ELSE 'YES' END AS attached_to,
                CASE c % 20 WHEN 1 THEN CAST('2023-02-15' AS DATE) WHEN 4 THEN CAST('2023-03-01' AS DATE)
@@ -185,22 +195,22 @@ def table_sql(d: Dialect) -> dict[str, str]:
     t["commercials"] = f"""
         SELECT pc_type, city AS pc_city, low AS no_of_consignments_from, high AS no_of_consignments_to,
                CAST(pay AS DOUBLE) AS commercials, CAST(12000 AS DOUBLE) AS guaranteed_amount_biker
-        FROM city {d.per_row(steps, city_steps(((1, 10, 5), (11, 20, 10), (21, 1000, 15))))}"""
+        FROM city {d.per_row(steps, city_steps(((1, 10, 5), (11, 20, 10), (21, _TOP, 15))))}"""
     t["hvdi_incentive"] = f"""
         SELECT pc_type, city AS pc_city, low AS no_of_consignments_from, high AS no_of_consignments_to,
                CAST(pay AS DOUBLE) AS incentives
-        FROM city {d.per_row(steps, city_steps(((21, 25, 100), (26, 30, 200), (31, 1000, 300))))}"""
+        FROM city {d.per_row(steps, city_steps(((21, 25, 100), (26, 30, 200), (31, _TOP, 300))))}"""
     t["vehicle_commercials"] = f"""
         SELECT code AS pc_code, CAST(low AS DOUBLE) AS amount_of_weight_from, high AS amount_of_weight_to,
                CAST(pay AS DOUBLE) AS commercials, CAST(1 AS DOUBLE) AS additional_weight,
                CAST(1 AS DOUBLE) AS additional_amount_per_kg,
                CAST(22464 AS DOUBLE) AS guarantee_amount_per_vehicle_with_biker,
                CAST(16848 AS DOUBLE) AS guaranteed_amount_per_vehicle_without_biker
-        FROM centre {d.per_row(("low", "high", "pay"), ["0, '5', 10", "5, '1000', 20"])}"""
+        FROM centre {d.per_row(("low", "high", "pay"), ["0, '5', 10", f"5, '{_TOP}', 20"])}"""
     hvdi = [
         f"'{model}', {row}"
         for model in ("Vehicle_with_Delivery_boy", "Vehicle_without_Delivery_boy")
-        for row in ("0, 15, 0, 200, 1", "16, 1000, 201, 100000, 2")
+        for row in ("0, 15, 0, 200, 1", f"16, {_TOP}, 201, {_TOP}, 2")
     ]
     t["vehicle_hvdi"] = f"""
         SELECT code AS pc_code, model, n_low AS no_of_consignments_from, n_high AS no_of_consignments_to,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from parcelpay.names import FACTS, FACTS_V1
+
 _CONSIGNMENTS = """
     gpart string, zzconsg_number string, zzcharge_weight double, dox_type string, zzcons_status string,
     zzdelivery_date string, handover_datetime string, zzdest_pincode string, product string
@@ -13,8 +15,8 @@ _SLABS = """
 
 # Table and column names that callers' tables already have.
 _DDL = {
-    "zpdn_table_payout": _CONSIGNMENTS,
-    "ndv_payout": _CONSIGNMENTS,
+    FACTS: _CONSIGNMENTS,
+    FACTS_V1: _CONSIGNMENTS,
     "ndv_vendor_master": "vendor_code string, vendor_name string, vendor_category string",
     "ndv_commercial_master": f"category string, commercial_category string, service_type string, {_SLABS}",
     "cod_remittance": "con_number string, delivery_date date, delivery_date_timestamp string, utr_datetime string",

@@ -9,5 +9,8 @@ MONTH_COLUMNS = ("pay_out_year", "pay_out_month")
 
 
 def publish_summary(summary: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write a month summary as parquet, one directory per month, in a folder all executors share."""
-    summary.write.mode(mode).partitionBy(*MONTH_COLUMNS).parquet(path)
+    """Write a month summary as parquet, one directory per month, in a folder all executors share.
+
+    Overwriting replaces the months that the summary has and leaves all others as they are.
+    """
+    summary.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*MONTH_COLUMNS).parquet(path)

@@ -1,18 +1,17 @@
-"""Payout tables on top of star-schema parquet files."""
+"""Report tables on top of star-schema parquet files."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelpay.sources.fixture_sql import SPARK, STAR_TABLES, needed, table_sql, with_clause
 from parcelpay.sources.schemas import SCHEMAS
-from parcelpay.sources.tables import PayoutTables
+from parcelpay.sources.tables import ReportTables
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
-_staged: dict[tuple[str, str], PayoutTables] = {}
+_staged: dict[tuple[str, str, str], ReportTables] = {}
 
 
 def derive(spark: SparkSession, root: str, name: str, ready: dict[str, str] | None = None) -> DataFrame:
@@ -24,30 +23,25 @@ def derive(spark: SparkSession, root: str, name: str, ready: dict[str, str] | No
     return spark.sql(f"{with_clause(SPARK, [name], extra=sources, tables=tables)}\nSELECT * FROM {name}")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors see: the one the session names, or a new temporary one on a single machine."""
-    folder = spark.conf.get(CHECKPOINT_KEY, None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="parcelpay-")
-
-
-def star_tables(spark: SparkSession, root: str) -> PayoutTables:
+def star_tables(spark: SparkSession, root: str, folder: str | None = None) -> ReportTables:
     """Report inputs derived from the star-schema files in `root`.
 
-    A table is written on first use and read from its files from then on, as the reports would read a warehouse table:
-    with column pruning, pushed filters and known sizes. It is written once per application.
+    Where there is a folder that all executors share (`folder`, or what the session names in `spark.checkpoint.dir`), a
+    table is written there on first use, once per application, and read from its files from then on, as the reports would read a warehouse table: with
+    column pruning, pushed filters and known sizes. Without such a folder nothing is written, and every query derives its
+    inputs as part of its own plan.
     """
-    key = (spark.sparkContext.applicationId, root)
+    shared = spark.conf.get(CHECKPOINT_KEY, None) if folder is None else folder
+    key = (spark.sparkContext.applicationId, root, shared)
+    if not shared:
+        return ReportTables(lambda name: derive(spark, root, name))
     if key not in _staged:
-        folder = f"{shared_folder(spark)}/parcelpay-{uuid.uuid4().hex}"
+        own = f"{shared.rstrip('/')}/parcelpay-{uuid.uuid4().hex}"
 
         ready: dict[str, str] = {}
 
         def write(name: str) -> str:
-            path = f"{folder}/{name}"
+            path = f"{own}/{name}"
             derive(spark, root, name, ready).write.mode("overwrite").parquet(path)
             return path
 
@@ -57,5 +51,5 @@ def star_tables(spark: SparkSession, root: str) -> PayoutTables:
                 ready["parcel"] = write("parcel")
             return spark.read.schema(SCHEMAS[name]).parquet(write(name))
 
-        _staged[key] = PayoutTables(staged)
+        _staged[key] = ReportTables(staged)
     return _staged[key]

@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from parcelpay.session import local_session  # noqa: E402
 from parcelpay.sources.schemas import SCHEMAS  # noqa: E402
-from parcelpay.sources.tables import PayoutTables  # noqa: E402
+from parcelpay.sources.tables import ReportTables  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -35,7 +35,7 @@ def make(spark):
             values = [tuple(row.get(n) for n in names) for row in rows.get(name, [])]
             return spark.createDataFrame(values, ddl)
 
-        return PayoutTables(frame)
+        return ReportTables(frame)
 
     return build
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from parcelpay.functions import times as T
 from parcelpay.functions.money import gain, loss, slab_price
 from parcelpay.functions.workers import worker_model
-from parcelpay.rules import PAYOUT_LABELS
+from parcelpay.rules import SETTLEMENT_LABELS
 
 
 def rows(spark, data, ddl, **columns):
@@ -117,7 +117,7 @@ def test_slab_price_inside_at_the_end_and_beyond(spark):
 def test_worker_model(spark):
     data = [("NO", "na"), ("yes", "yes"), ("yes", "Na"), ("no", "yes"), (None, "NO")]
     got = rows(
-        spark, data, "a string, b string", m=worker_model(F.col("a"), F.col("b"), PAYOUT_LABELS)
+        spark, data, "a string, b string", m=worker_model(F.col("a"), F.col("b"), SETTLEMENT_LABELS)
     )
-    labels = PAYOUT_LABELS
+    labels = SETTLEMENT_LABELS
     assert [g[0] for g in got] == [labels.biker, labels.vehicle_with_boy, labels.vehicle_without_boy, None, None]

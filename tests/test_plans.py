@@ -14,7 +14,7 @@ from parcelpay.plans import consignments as vendor
 from parcelpay.plans.registry import REPORTS
 from parcelpay.rules import VendorRules
 from parcelpay.sources.star import star_tables
-from parcelpay.sources.tables import PayoutTables
+from parcelpay.sources.tables import ReportTables
 from tests.compare import connect, difference
 from tests.conftest import SMALL
 
@@ -88,20 +88,30 @@ def test_broadcast_only_within_the_limit(spark, tables, conf):
 def test_results_without_broadcast_and_with_split_ranks(spark, conf, monkeypatch, name):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf(BROADCAST_LIMIT_KEY, "0")
-    monkeypatch.setattr(ranking, "SPLIT_FROM_BYTES", 0)
-    monkeypatch.setattr(ranking.rank_within, "__defaults__", _with_floor(50))
+    monkeypatch.setattr(ranking.rank_within, "__defaults__", _with_rows_per_task(50))
     frame = driver.queries()[name](spark, SMALL)
     assert difference(frame, connect(SMALL), driver.oracle_sql()[name]) is None
 
 
-def _with_floor(rows):
-    """Defaults of the rank with a low floor, so that groups of the small data count as hot."""
-    names = ranking.rank_within.__code__.co_varnames[: ranking.rank_within.__code__.co_argcount]
-    defaults = list(ranking.rank_within.__defaults__)
-    first = len(names) - len(defaults)
-    defaults[names.index("hot_floor") - first] = rows
-    defaults[names.index("hot_share") - first] = 0.0001
-    return tuple(defaults)
+def _with_rows_per_task(rows):
+    """Defaults of the rank with a low limit, so that groups of the small data count as large."""
+    defaults = ranking.rank_within.__defaults__
+    return (*defaults[:-1], rows)
+
+
+@pytest.mark.parametrize("name", ["biker_detailed", "biker_summary"])
+def test_rider_branches_share_the_fact_shuffle(tables, conf, name):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    df = REPORTS[name](tables)
+    df.collect()
+    text = plan(df).split("== Initial Plan ==")[0]
+    assert text.count("FileScan parquet [gpart") == 1 and "ReusedExchange" in text
+
+
+@pytest.mark.parametrize("name", ["hygiene_incentive_biker", "biker_summary", "vehicle_summary"])
+def test_assignments_are_not_dealt_by_rider(tables, conf, name):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert not re.search(r"Exchange hashpartitioning\(worker_code", plan(REPORTS[name](tables)))
 
 
 def test_hot_consignment_number_is_split_at_run_time(spark, make, conf, tmp_path):
@@ -131,7 +141,7 @@ def test_hot_consignment_number_is_split_at_run_time(spark, make, conf, tmp_path
     for name in ("zpdn_table_payout", "ndv_commercial_master", "cod_remittance", "ndv_vendor_master", "ndv_kpi_table",
                  "ndv_kpi_master"):
         rows_by_table[name].write.parquet(f"{tmp_path}/{name}")
-    tables = PayoutTables.parquet(spark, str(tmp_path))
+    tables = ReportTables.parquet(spark, str(tmp_path))
     parcels = tables["zpdn_table_payout"].repartition(6, "zzdest_pincode")
     report = vendor.con_level_with_logs(tables.with_frames(zpdn_table_payout=parcels))
     df = report.agg(F.sum("net_payable").alias("paid"), F.count("*").alias("n"))

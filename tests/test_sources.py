@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from datetime import date
 
+import duckdb
 import pytest
 
 from parcelpay.operators.calendar import date_spine, month_calendar, week_calendar
 from parcelpay.sources import star
-from parcelpay.sources.fixture_sql import DUCKDB, STAR_TABLES, with_clause
+from parcelpay.sources.fixture_sql import DUCKDB, SPARK, STAR_TABLES, code, padded, with_clause
 from parcelpay.sources.schemas import SCHEMAS
-from parcelpay.sources.tables import PayoutTables
+from parcelpay.sources.sinks import publish_summary
+from parcelpay.sources.tables import ReportTables
 from tests.compare import connect
 from tests.conftest import SMALL
 
@@ -36,16 +38,32 @@ def test_every_customer_and_supplier_is_used(spark):
     assert "events" not in STAR_TABLES
 
 
-def test_written_tables_go_to_the_folder_the_session_names(spark):
-    folder = spark.conf.get(star.CHECKPOINT_KEY, None)
-    got = star.shared_folder(spark)
-    assert got == folder if folder else got
+def test_tables_are_written_only_to_a_shared_folder(spark, tmp_path):
+    assert star.star_tables(spark, SMALL, "")["cluster_master"].inputFiles()[0].endswith("supplier.parquet")
+    assert f"{tmp_path}/" in star.star_tables(spark, SMALL, f"{tmp_path}")["cluster_master"].inputFiles()[0]
+
+
+def test_keys_stay_apart_beyond_their_width(spark):
+    """Riders, centres and consignments of large tables keep keys of their own, in both engines."""
+    numbers = [1, 99_999, 100_000, 100_009, 149_999, 1_499_990, 10**8 - 1, 10**8, 10**9 + 7, 4 * 10**12]
+    for d, run in ((SPARK, lambda q: spark.sql(q).collect()), (DUCKDB, lambda q: duckdb.connect().execute(q).fetchall())):
+        values = " UNION ALL ".join(f"SELECT CAST({n} AS BIGINT) AS o" for n in numbers)
+        rows = run(f"SELECT {code('B', 'o')}, {padded(d.base36.format('o'), 8)} FROM ({values}) x")
+        assert len({r[0] for r in rows}) == len({r[1] for r in rows}) == len(numbers)
+        assert {len(r[1]) for r in rows if r[1] < "0ZZZZZZZ"} == {8}
+
+
+def test_publishing_a_month_leaves_other_months(spark, tmp_path):
+    months = lambda *m: spark.createDataFrame([(1.0, "2023", x) for x in m], "pay double, pay_out_year string, pay_out_month string")
+    publish_summary(months("January", "March"), f"{tmp_path}/s")
+    publish_summary(months("March"), f"{tmp_path}/s")
+    assert sorted(r["pay_out_month"] for r in spark.read.parquet(f"{tmp_path}/s").collect()) == ["January", "March"]
 
 
 def test_catalog_tables(spark, make):
     frames = make(cluster_master=[{"vendor_code": "V1", "cluster_city": "Town", "type": "Internal"}])
     frames["cluster_master"].createOrReplaceGlobalTempView("cluster_master")
-    tables = PayoutTables.catalog(spark, "global_temp")
+    tables = ReportTables.catalog(spark, "global_temp")
     assert [r["vendor_code"] for r in tables["cluster_master"].collect()] == ["V1"]
 
 
@@ -54,7 +72,7 @@ def test_month_bounds_prune_fact_partitions(spark, make, tmp_path):
     fact = make(zpdn_table_payout=rows)["zpdn_table_payout"]
     dated = fact.selectExpr("*", "make_date(2023, CAST(substr(gpart, 2) AS INT), 15) AS delivery_month")
     dated.write.partitionBy("delivery_month").parquet(f"{tmp_path}/fact")
-    tables = PayoutTables.of({"zpdn_table_payout": spark.read.parquet(f"{tmp_path}/fact"), "cluster_master": fact})
+    tables = ReportTables.of({"zpdn_table_payout": spark.read.parquet(f"{tmp_path}/fact"), "cluster_master": fact})
     bounded = tables.between_months("delivery_month", date(2023, 2, 20), date(2023, 3, 1))
     assert sorted(r["gpart"] for r in bounded["zpdn_table_payout"].collect()) == ["V2", "V3"]
     plan = bounded["zpdn_table_payout"]._jdf.queryExecution().executedPlan().toString()
