@@ -39,7 +39,8 @@ def records(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html"
     """One row for each page and payload: id, uri, payload, bytes, digest, refers_to (the id whose payload it repeats).
 
     Of equal payloads of at least `least_bytes` bytes, the one of the smallest id is written in full. A null payload is
-    an empty one. Rows that repeat both id and payload are one record; a null id is an id of its own, after all others.
+    an empty one. Rows that repeat both id and payload may be written twice, and are read as one record; a null id is an
+    id of its own, after all others.
     The join with the first ids is by digest; adaptive execution splits a digest that many rows share.
     """
     uri = F.lit(None).cast("string") if uri_col is None or uri_col not in pages.columns else F.col(uri_col).cast("string")
@@ -69,7 +70,7 @@ def chunk_rows(found: DataFrame, chunk: int = CHUNK) -> DataFrame:
 def write_archives(found: DataFrame, folder: str, chunk: int = CHUNK, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Writes the records to compressed archives below `folder`; one row (path, records) for each file.
 
-    A task streams chunk rows in order of record and chunk number, and checks the digest it has summed up against the
+    Rows of a record come one after the other, as `chunk_rows` makes them. A task streams them and checks the digest it has summed up against the
     one that the header states. Every attempt of a task writes files of its own, and only those of successful ones are
     in the result, so lost executors and repeated tasks do no harm.
     """
@@ -91,7 +92,7 @@ def write_archives(found: DataFrame, folder: str, chunk: int = CHUNK, file_bytes
         for batch in batches:
             for row in batch.to_pylist():
                 key = (row["id"], row["digest"])
-                if key != current:
+                if row["chunk"] == 0:
                     close_record()
                     if out is not None and out.tell() > file_bytes:
                         out.close()
@@ -115,9 +116,8 @@ def write_archives(found: DataFrame, folder: str, chunk: int = CHUNK, file_bytes
             done.append((path, count))
         yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done], pa.int64())], names=["path", "records"])
 
-    chunks = chunk_rows(found, chunk).repartition("id", "digest").sortWithinPartitions("id", "digest", "chunk")
     manifest = f"{folder}/manifest"
-    chunks.mapInArrow(write, "path string, records long").write.parquet(manifest)
+    chunk_rows(found, chunk).mapInArrow(write, "path string, records long").write.parquet(manifest)
     return found.sparkSession.read.parquet(manifest)
 
 
@@ -228,7 +228,7 @@ def archived(pages: DataFrame, folder: str | None = None, id_col: str = "page_id
     spark = pages.sparkSession
     kind = pages.schema[id_col].dataType
     manifest = write_archives(records(pages, id_col, payload_col, uri_col, least_bytes), folder or shared_folder(spark, "archives"))
-    last = read_chunks(spark, manifest, with_data=False)
+    last = read_chunks(spark, manifest, with_data=False).dropDuplicates(["record", "digest"])
     return last.select(
         F.col("record").cast(kind).alias("page_id"), F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
         F.col("kind").alias("record_type"), F.col("refers_to").cast(kind).alias("refers_to"),
