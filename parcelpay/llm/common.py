@@ -34,12 +34,12 @@ def lower_ascii(text: Column) -> Column:
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path below `spark.checkpoint.dir`; on one machine without that setting, a temporary folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="parcelpay-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

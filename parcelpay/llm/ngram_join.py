@@ -53,18 +53,15 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_c
     names = classes.filter("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.min("rep").alias("rep"))
 
     bands = banded(with_words, percent)
-    entries = hashed.mapInArrow(lambda batches: indexed(batches, bands), f"signature long, doc_id {docs.schema[id_col].dataType.simpleString()}")
+    kind = docs.schema[id_col].dataType.simpleString()
+    entries = hashed.mapInArrow(lambda batches: indexed(batches, bands), f"signature long, doc_id {kind}")
     by_signature = entries.repartition("signature").sortWithinPartitions("signature", "doc_id")
-    shared = by_signature.mapInArrow(buckets, f"signature long, doc_id {docs.schema[id_col].dataType.simpleString()}, hub {docs.schema[id_col].dataType.simpleString()}")
+    shared = by_signature.mapInArrow(buckets, f"signature long, doc_id {kind}")
     # copies of a set that other tasks have indexed become one member here
-    members = written(
-        shared.join(names, "doc_id").select("signature", F.col("rep").alias("id"), "hub")
-        .join(names.select(F.col("doc_id").alias("hub"), F.col("rep").alias("hub_id")), "hub")
-        .select("signature", "id", F.col("hub_id").alias("hub")).distinct(),
-        "members",
-    )
+    members = written(shared.join(names, "doc_id").select("signature", F.col("rep").alias("id")).distinct(), "members")
 
-    stars = written(members.filter("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), "stars")
+    hubs = members.groupBy("signature").agg(F.min("id").alias("b"))
+    stars = written(members.join(hubs, "signature").filter("id <> b").select(F.col("id").alias("a"), "b").distinct(), "stars")
     taking_part = members.select(F.col("id").alias("doc_id")).distinct()
     sets = written(sets_of(source, taking_part, shingle, percent), "sets")
     star_links = written(verified(stars, sets, percent), "star-links")
@@ -129,33 +126,25 @@ def indexed(batches: Iterator, bands) -> Iterator:
 
 
 def buckets(batches: Iterator) -> Iterator:
-    """Of rows sorted by signature and id, those whose signature has more than one id, with the first id as hub.
+    """Of rows sorted by signature, those whose signature has more than one.
 
-    One row of each signature is remembered, however many there are.
+    A row is held back until the next one shows whether its signature goes on, so one row is remembered.
     """
     import numpy as np
     import pyarrow as pa
 
-    last = None  # signature, hub, whether the hub's own row is still to come
+    held, open_ = None, False  # the last row so far, and whether the row before it has its signature
     for batch in batches:
-        if not batch.num_rows:
+        rows = pa.Table.from_batches([batch] if held is None else [held, batch])
+        if not rows.num_rows:
             continue
-        sig = batch.column(0).to_numpy()
-        ids = batch.column(1)
-        starts = np.concatenate(([last is None or sig[0] != last[0]], sig[1:] != sig[:-1]))
-        at = np.maximum.accumulate(np.where(starts, np.arange(len(sig)), -1))
-        hubs = ids.take(pa.array(np.maximum(at, 0)))
-        if at[0] < 0:
-            run = int((at < 0).sum())
-            hubs = pa.concat_arrays([pa.array([last[1]] * run, ids.type), hubs.slice(run)])
-        second = ~starts & np.concatenate(([last is not None and last[2]], starts[:-1]))
-        more = pa.array(np.flatnonzero(~starts))
-        own = pa.array(np.flatnonzero(second))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate((sig[~starts], sig[second]))), pa.concat_arrays([ids.take(more), hubs.take(own)]), pa.concat_arrays([hubs.take(more), hubs.take(own)])],
-            names=["signature", "doc_id", "hub"],
-        )
-        last = (sig[-1], hubs[len(sig) - 1].as_py(), bool(starts[-1]))
+        sig = rows.column(0).to_numpy()
+        same = sig[1:] == sig[:-1]
+        keep = np.concatenate(([open_], same)) | np.concatenate((same, [False]))
+        yield from rows.slice(0, len(sig) - 1).filter(pa.array(keep[:-1])).to_batches()
+        held, open_ = rows.slice(len(sig) - 1).combine_chunks().to_batches()[0], bool(same[-1]) if len(same) else open_
+    if held is not None and open_:
+        yield held
 
 
 def sets_of(source: DataFrame, wanted: DataFrame, shingle: int, percent: int) -> DataFrame:

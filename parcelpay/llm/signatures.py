@@ -135,10 +135,11 @@ def signatures(values: np.ndarray, sizes: np.ndarray, bands: Bands) -> tuple[np.
 def sketch(values: np.ndarray, percent: int) -> np.ndarray:
     """Parities of the number of elements in each of 64, 128, 256 … places, as 64-bit words.
 
-    Sets that differ in d elements have sketches that differ in at most d bits.
+    Sets that differ in d elements have sketches that differ in at most d bits. The more places for each difference
+    allowed, the fewer pairs just beyond the limit pass; large sets get eight, small ones sixteen.
     """
-    bits = 64
-    while bits < 4 * allowed(len(values), len(values), percent):
+    bits, limit = 64, allowed(len(values), len(values), percent)
+    while bits < (16 if bits < 512 else 8) * limit:
         bits *= 2
     odd = np.bincount((mixed(values) % np.uint64(bits)).astype(np.int64), minlength=bits) % 2
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
