@@ -5,20 +5,23 @@ percentage of the threshold. The universe of hashes is cut into m segments. A se
 equal in both sets, one with tolerance 1 also when the sets differ there by one element. If the tolerances plus one add
 up to H + 1 + spare, the agreeing segments of every linked pair weigh more than `spare`. So either one that is not
 trivial agrees, which both sets index by its value (or the value less one element), or enough trivial ones (empty, or of
-at most one element under tolerance 1) do, which both sets index by subsets of their trivial segments.
+at most one element under tolerance 1) do. Sets that share s of their trivial segments share `TOGETHER` of the first
+t - s + TOGETHER, t their own number in a common order, so both index the subsets of TOGETHER of these.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from itertools import combinations
-from math import ceil, exp, inf
+from math import ceil, exp, inf, sqrt
 
 import numpy as np
 
 RATIO = 1.3
 #: The chance that two unrelated sets agree on one element's place, and the cost of a candidate in index entries.
 AGREE, CANDIDATE_COST = 0.1, 50
+#: How many trivial segments make a signature.
+TOGETHER = 3
 
 
 def allowed(x: int, y: int, percent: int) -> int:
@@ -28,7 +31,7 @@ def allowed(x: int, y: int, percent: int) -> int:
 
 @dataclass(frozen=True)
 class Scheme:
-    """Segments, how many of them (the last ones) tolerate one difference, and the size of trivial subsets."""
+    """Segments, how many of them (the last ones) tolerate one difference, and how many trivial ones count."""
 
     segments: int
     loose: int
@@ -47,7 +50,8 @@ def allocate(low: int, high: int, docs: int, percent: int) -> Scheme:
             units = h + 1 + spare
             loose = units // (2 * part) if part else 0
             m = units - loose
-            spare = max(spare, 1 + ceil(2 * m * exp(-low / m)))
+            empty = m * exp(-low * percent / 100 / m)  # of the smallest set that the band's sets link with
+            spare = max(spare, 1 + ceil(min(2 * empty, empty + 8 * sqrt(empty))))
         units = h + 1 + spare
         loose = units // (2 * part) if part else 0
         m = units - loose
@@ -123,8 +127,11 @@ def signatures(values: np.ndarray, sizes: np.ndarray, bands: Bands) -> tuple[np.
         trivial = np.flatnonzero((count == 0) | (loose & (count <= 1)))
         many = np.bincount(doc[trivial], minlength=len(docs)) >= subset_of[scheme]
         for d in np.flatnonzero(many):
-            own_tags = tag[trivial[doc[trivial] == d]].tolist()
-            sums = [sum(c) & 0xFFFFFFFFFFFFFFFF for c in combinations(own_tags, int(subset_of[scheme[d]]))]
+            own_tags = np.sort(tag[trivial[doc[trivial] == d]]).tolist()
+            least = int(subset_of[scheme[d]])
+            together = min(least, TOGETHER)
+            ahead = own_tags[: len(own_tags) - least + together]
+            sums = [sum(c) & 0xFFFFFFFFFFFFFFFF for c in combinations(ahead, together)]
             found.append(mixed(np.array(sums, dtype=np.uint64) ^ np.uint64(0x5851F42D4C957F2D)))
             owner.append(np.full(len(sums), docs[d]))
     if not found:
