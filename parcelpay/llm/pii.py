@@ -49,21 +49,21 @@ def digits_of(match: Column) -> Column:
 
 
 def luhn(digits: Column) -> Column:
-    """Whether the checksum of a text of digits is right."""
+    """Whether the checksum of a text of digits is right; not for an empty text."""
     n = F.length(digits)
 
     def step(total: Column, i: Column) -> Column:
-        d = F.substr(digits, i, F.lit(1)).cast("int")
+        d = F.substr(digits, i, F.lit(1)).try_cast("int")
         double = F.when(d > 4, 2 * d - 9).otherwise(2 * d)
         return total + F.when((n - i) % 2 == 1, double).otherwise(d)
 
-    return F.aggregate(F.sequence(F.lit(1), n), F.lit(0), step) % 10 == 0
+    return F.coalesce(F.aggregate(F.sequence(F.lit(1), n), F.lit(0), step) % 10 == 0, F.lit(False))
 
 
 def byte_parts(match: Column) -> Column:
     """Whether every dotted number is at most 255, leading zeros aside."""
     short = lambda p: F.regexp_replace(p, "^0+(?=[0-9])", "")
-    return F.forall(F.split(F.regexp_replace(match, r"[\[\]]", ""), r"\."), lambda p: (F.length(short(p)) <= 3) & (F.coalesce(F.when(F.length(short(p)) <= 3, short(p)).cast("int"), F.lit(999)) <= 255))
+    return F.forall(F.split(F.regexp_replace(match, r"[\[\]]", ""), r"\."), lambda p: (F.length(short(p)) <= 3) & (F.coalesce(F.when(F.length(short(p)) <= 3, short(p)).try_cast("int"), F.lit(999)) <= 255))
 
 
 def valid(kind: str, match: Column) -> Column:
