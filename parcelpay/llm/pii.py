@@ -132,7 +132,7 @@ def features(text: Column, generator: int, s: Column) -> Column:
         class_of(F.substr(text, s["end"] + 1, F.lit(1))).alias("after"),
         flag(F.rlike(near, F.lit(r"\b(?:tel|phone|call|fax|mobile|mail|e-mail|contact|card|visa|ip|host|server|address|pay)"))).alias("context"),
         F.least(F.length(F.substring_index(match, ".", -1)), F.lit(8)).alias("tld"),
-        F.coalesce(F.substr(number, F.lit(1), F.lit(1)).cast("int"), F.lit(-1)).alias("lead"),
+        F.coalesce(F.substr(number, F.lit(1), F.lit(1)).try_cast("int"), F.lit(-1)).alias("lead"),
     )
 
 
