@@ -7,12 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelpay.operators.lookups import broadcast_within_limit
-
 # Up to this many rows, one task sorts a group without trouble; larger groups are split.
 ROWS_PER_TASK = 1_000_000
-# A large group is split at so many texts at most, picked from about this many of its own.
-MOST_CUTS, SAMPLED = 64, 1024
+# A split group has a piece for each eighth of that many rows, and the sketch that its pieces come from four texts each.
+PIECES, OVERSAMPLED = 8, 4
+# At most this many groups are split; beyond that many large ones, what counts as large grows with the table.
+MOST_SPLIT = 12_500
+# A cut is the start of a text, of this many characters.
+CUT_CHARS = 64
+_LAST = 2**31 - 1
 
 
 def rank_within(
@@ -28,32 +31,30 @@ def rank_within(
     """Add RANK() of the text column `order` within `keys`, NULLs last.
 
     `load` shows how rows spread over `load_keys` (columns of both frames) and over `order`; it only steers the split and
-    never changes a rank. Its groups are counted at every size. Where one has more than `rows_per_task` rows, its rows
-    are cut at texts picked from the group itself, whatever these look like: each stretch between two cuts is ranked on
-    its own, and the rows of the earlier stretches are added. Equal texts lie in one stretch, so the sum is the rank over
-    the whole group. A stretch has about 1/64 of its group's rows, or `rows_per_task` if that is more. Only then is the
-    input read a second time, for the rows of each stretch; where no group is that large, a plain window is planned.
+    never changes a rank. Groups of more than `rows_per_task` rows are cut at the quantiles of their own texts: each
+    stretch between two cuts is ranked by itself, and the rows of the earlier stretches are added. Equal texts lie in one
+    stretch, so the sum is the rank over the whole group. The number of stretches grows with the group.
+
+    All of this is one plan: building it runs no job. Where no group is large, the side that holds the cuts turns out
+    empty at run time, and adaptive execution drops what depends on it.
 
     Rows come back partitioned by the column `part`, which callers may carry through a distinct to reuse it.
     """
     in_order = F.col(order).asc_nulls_last()
-    marks = cuts(load, load_keys, order, rows_per_task)
-    if marks.isEmpty():
-        place = F.rank().over(Window.partitionBy(*keys).orderBy(in_order))
-        return df.withColumns({out: place.cast("long"), part: F.lit("")})
-
-    side = marks.select(F.struct(*load_keys).alias("_group"), "_cuts")
+    side = cuts(load, load_keys, order, rows_per_task)
+    side = F.broadcast(side.select(F.struct(*load_keys).alias("_group"), "_cuts"))
     marked = df.withColumn("_of", F.struct(*load_keys))
-    marked = marked.join(broadcast_within_limit(side), marked["_of"].eqNullSafe(side["_group"]), "left").drop("_of", "_group")
-    stretch = F.when(F.col(order).isNull(), MOST_CUTS + 1).otherwise(F.size(F.filter("_cuts", lambda c: c <= F.col(order))))
 
-    # One struct as partition and join key: NULLs inside it compare equal, and the join needs no second exchange.
-    bucket = F.when(F.col("_cuts").isNotNull(), stretch).otherwise(F.lit(0))
-    others = [c for c in df.columns if c not in keys]
-    packed = marked.select(F.struct(*keys, bucket.alias("_bucket")).alias(part), *others, F.col("_cuts").isNotNull().alias("_hot"))
+    def packed(how: str) -> DataFrame:
+        # One struct as partition and join key: NULLs inside it compare equal, and the join needs no second exchange.
+        rows = marked.join(side, marked["_of"].eqNullSafe(side["_group"]), how)
+        stretch = F.when(F.col(order).isNull(), _LAST).otherwise(F.size(F.filter("_cuts", lambda c: c <= F.col(order))))
+        bucket = F.when(F.col("_cuts").isNotNull(), stretch).otherwise(F.lit(0))
+        others = [c for c in df.columns if c not in keys]
+        return rows.select(F.struct(*keys, bucket.alias("_bucket")).alias(part), *others)
 
-    ranked = packed.withColumn("_local", F.rank().over(Window.partitionBy(part).orderBy(in_order))).drop("_hot")
-    sizes = packed.filter("_hot").groupBy(part).agg(F.count(F.lit(1)).alias("_rows"))
+    ranked = packed("left").withColumn("_local", F.rank().over(Window.partitionBy(part).orderBy(in_order)))
+    sizes = packed("inner").groupBy(part).agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.partitionBy(*[f"{part}.{k}" for k in keys]).orderBy(f"{part}._bucket")
     offsets = sizes.select(
         F.col(part).alias("_of"),
@@ -68,15 +69,29 @@ def rank_within(
 
 
 def cuts(load: DataFrame, keys: Sequence[str], order: str, rows_per_task: int) -> DataFrame:
-    """The texts at which to split each group of more than `rows_per_task` rows; combined before any shuffle."""
+    """The texts at which to split each large group: `keys` and the sorted array `_cuts`.
+
+    Rows are counted per group on the map side. A large group's sketch deals its texts by hash into cells, as many as its
+    rows ask for, and keeps of each cell its row count and the text of the least hash; sketches merge cell by cell, also
+    on the map side. A group of few texts has all of them in its sketch, one of many a uniform sample. Where the counts,
+    added up in text order, pass a multiple of a piece's rows, there is a cut.
+
+    Together, the cuts are at most PIECES * MOST_SPLIT texts of CUT_CHARS characters, which bounds what is broadcast.
+    """
     group = F.struct(*keys)
-    counts = load.groupBy(group.alias("_key")).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > rows_per_task)
+    counts = load.groupBy(group.alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    total = counts.agg(F.sum("_rows")).scalar()
+    least = F.greatest(F.lit(rows_per_task), F.ceil(total / MOST_SPLIT))
+    large = counts.select("_key", "_rows", least.alias("_least")).filter(F.col("_rows") > F.col("_least"))
+    large = large.select("_key", F.ceil(F.col("_least") / PIECES).alias("_piece"), F.ceil(F.col("_rows") * PIECES * OVERSAMPLED / F.col("_least")).alias("_cells"))
+    # A group is only large if it holds more than 1 / MOST_SPLIT of all rows.
     rows = load.select(group.alias("_key"), F.col(order).alias("_text")).filter("_text is not null")
-    step = F.greatest(F.lit(1), F.floor(F.col("_rows") / SAMPLED))
-    # Texts are picked by their hash, so a text that repeats is picked as a whole or not at all.
-    picked = rows.join(broadcast_within_limit(counts, load), "_key").filter(F.pmod(F.xxhash64("_text"), step) == 0)
-    texts = picked.groupBy("_key", "_rows").agg(F.array_sort(F.collect_set("_text")).alias("_texts"))
-    wanted = F.least(F.lit(MOST_CUTS), F.ceil(4 * F.col("_rows") / rows_per_task)).cast("int")
-    every = F.greatest(F.lit(1), F.ceil(F.size("_texts") / wanted)).cast("int")
-    chosen = F.filter("_texts", lambda _, i: i % every == 0)
-    return texts.select("_key.*", chosen.alias("_cuts"))
+    rows = rows.join(F.broadcast(large), "_key")
+    cell = F.pmod(F.xxhash64("_text"), F.col("_cells"))
+    sketch = rows.groupBy("_key", "_piece", cell.alias("_cell")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min_by(F.substring("_text", 1, CUT_CHARS), F.xxhash64(F.lit(1), "_text")).alias("_text")
+    )
+    so_far = F.sum("_rows").over(Window.partitionBy("_key").orderBy("_text", "_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    marks = sketch.withColumn("_end", so_far).filter("_end div _piece > (_end - _rows) div _piece")
+    texts = marks.groupBy("_key").agg(F.array_sort(F.collect_set("_text")).alias("_cuts"))
+    return texts.select("_key.*", "_cuts")

@@ -80,8 +80,9 @@ def rider_consignments(tables: ReportTables, with_category: bool = True) -> Data
     rows = with_cluster(
         rows, tables, "gpart", {"pccity": F.upper("cluster_city"), "cm_type": F.col("type")}
     ).drop("gpart")
-    # Like a distinct, but every column stays a key whatever a report needs, so its branches share one shuffle.
-    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
+    # Like a distinct, but one that stays as it is whatever a report reads of it, so its branches share one shuffle: the
+    # filter, which every group passes, needs the count, so the optimizer can neither drop nor merge the aggregate.
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 0").drop("copies")
 
 
 def rider_rank(rows: DataFrame, tables: ReportTables, **split) -> DataFrame:

@@ -16,7 +16,7 @@ _RIDER = ["pc_code", "biker_code", "vendor_category"]
 
 
 def internal_deliveries(tables: ReportTables) -> DataFrame:
-    """Distinct delivered consignments of riders of internal centres; the centre filter sits on the rider side."""
+    """Delivered consignments of riders of internal centres, which may repeat; the centre filter sits on the rider side."""
     riders = workers(tables, HYGIENE_LABELS)
     internal = tables["cluster_master"].filter(F.col("type") == "Internal")
     riders = master_join(riders, internal, "pc_code", "vendor_code", {})
@@ -29,25 +29,49 @@ def internal_deliveries(tables: ReportTables) -> DataFrame:
     }
     # A centre has one row, so the join above keeps the riders' number.
     rows = assigned(tables, riders, keep, sized_by=tables["biker_master"])
-    return rows.select(
-        *keep, "consignment", "delivery_datetime", "handover_datetime", "delivery_date"
-    ).distinct()
+    return rows.select(*keep, "consignment", "delivery_datetime", "handover_datetime", "delivery_date")
+
+
+def rider_days(rows: DataFrame, rules: HygieneRules) -> DataFrame:
+    """The state of a rider's day from which all roll-ups are taken: `failures`, the distinct consignments not closed in
+    time, and `profiles`, the master rows (category, start, model) under which the rider delivered.
+
+    A consignment counts once however many master rows a rider has, so profiles are gathered per consignment first; the
+    next exchange moves one row per rider and day from each task. The days' counts are disjoint and just add up. A
+    delivery without a day is in no month and goes.
+
+    All three results are aggregates, and the filter, which every day passes, reads them all: so no roll-up's own columns
+    or join keys reach below, each keeps the whole state, and they share its exchange.
+    """
+    rider = ["pc_code", "biker_code", "delivery_date"]
+    profile = F.struct("vendor_category", "onboarding_date", "model")
+    rows = rows.filter("delivery_date is not null")
+    parcels = rows.groupBy(*rider, "consignment", "delivery_datetime", "handover_datetime").agg(
+        F.array_sort(F.collect_set(profile)).alias("profiles")
+    )
+    late = within(F.col("delivery_datetime"), F.col("handover_datetime"), rules.window_seconds) == "No"
+    days = parcels.groupBy(*rider).agg(
+        F.count(F.when(late, 1)).alias("failures"),
+        F.array_distinct(F.flatten(F.collect_set("profiles"))).alias("profiles"),
+        F.max(month_number(F.col("delivery_date"))).alias("pay_out_month"),
+    )
+    return days.filter((F.col("failures") >= 0) & (F.size("profiles") > 0) & (F.col("pay_out_month") > 0))
 
 
-def rider_weeks(rows: DataFrame, rules: HygieneRules) -> DataFrame:
+def rider_weeks(days: DataFrame, rules: HygieneRules) -> DataFrame:
     """Weekdays and Sundays worked per rider, month and week, with the week's place counted from the last one.
 
     Only riders of the rules' models who were available for the whole month count.
     """
     day = F.col("delivery_date")
     eligible = F.col("model").isin(*rules.models) & (full_month(F.col("onboarding_date"), day) == "Yes")
-    # A rider's days: repeats merge on the map side before the shuffle.
-    days = rows.filter(eligible).select(*_RIDER, "model", "delivery_date").distinct()
+    profiles = days.select("pc_code", "biker_code", "delivery_date", "pay_out_month", F.inline("profiles"))
+    days = profiles.filter(eligible).select(*_RIDER, "model", "delivery_date", "pay_out_month").distinct()
     weekday = weekday_from_sunday(day)
     weeks = days.groupBy(
         *_RIDER,
         "model",
-        month_number(day).alias("pay_out_month"),
+        "pay_out_month",
         week_of_month(day).alias("week_num"),
         F.weekofyear(day).cast("long").alias("year_week_number"),
     ).agg(
@@ -72,30 +96,22 @@ def week_flags(weeks: DataFrame, calendar: DataFrame) -> DataFrame:
     ).drop("pay_month", "year_week_numbers", "week_days")
 
 
-def closure_failures(rows: DataFrame, rules: HygieneRules) -> DataFrame:
-    """Consignments not closed in time per rider and month; riders without failures show 0.
-
-    Counting distinct failures lets the map side drop every consignment closed in time.
-    """
-    late = within(F.col("delivery_datetime"), F.col("handover_datetime"), rules.window_seconds) == "No"
-    # NULL times and numbers would not count inside a distinct, a struct of them does.
-    failure = F.when(late, F.struct("consignment", "delivery_datetime", "handover_datetime"))
-    return rows.groupBy("pc_code", "biker_code", month_number(F.col("delivery_date")).alias("pay_out_month")).agg(
-        F.count_distinct(failure).alias("delivery_failure")
-    )
+def closure_failures(days: DataFrame) -> DataFrame:
+    """Consignments not closed in time per rider and month; riders without failures show 0."""
+    return days.groupBy("pc_code", "biker_code", "pay_out_month").agg(F.sum("failures").alias("delivery_failure"))
 
 
 def hygiene_incentive(tables: ReportTables, rules: HygieneRules) -> DataFrame:
     """Rider months with Sunday, closure and total incentive."""
-    rows = internal_deliveries(tables)
-    spine = date_spine(rows.sparkSession, rules.start, rules.as_of)
-    months = week_flags(rider_weeks(rows, rules), week_calendar(spine)).groupBy(*_RIDER, "pay_out_month", "model").agg(
+    days = rider_days(internal_deliveries(tables), rules)
+    spine = date_spine(days.sparkSession, rules.start, rules.as_of)
+    months = week_flags(rider_weeks(days, rules), week_calendar(spine)).groupBy(*_RIDER, "pay_out_month", "model").agg(
         F.sum("sunday_incentive").alias("_sundays_worked")
     )
     # Twelve rows at most.
     calendar = F.broadcast(month_calendar(spine))
     months = months.join(calendar, months["pay_out_month"] == calendar["pay_month"], "left")
-    failures = closure_failures(rows, rules)
+    failures = closure_failures(days)
     rows = months.join(failures, ["pc_code", "biker_code", "pay_out_month"], "left")
     share = F.try_divide(F.col("_sundays_worked").cast("double"), F.col("sunday_count"))
     closure = F.when(F.col("delivery_failure") == 0, F.lit(rules.rate)).otherwise(F.lit(0.0))

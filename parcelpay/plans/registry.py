@@ -72,9 +72,9 @@ def _worker_availability(t: ReportTables) -> DataFrame:
 
 def _hygiene_week_flags(t: ReportTables) -> DataFrame:
     rules = HygieneRules.biker(AS_OF)
-    rows = hygiene.internal_deliveries(t)
-    spine = calendar.date_spine(rows.sparkSession, rules.start, rules.as_of)
-    weeks = hygiene.week_flags(hygiene.rider_weeks(rows, rules), calendar.week_calendar(spine))
+    days = hygiene.rider_days(hygiene.internal_deliveries(t), rules)
+    spine = calendar.date_spine(days.sparkSession, rules.start, rules.as_of)
+    weeks = hygiene.week_flags(hygiene.rider_weeks(days, rules), calendar.week_calendar(spine))
     return weeks.drop("model")
 
 

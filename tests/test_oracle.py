@@ -5,14 +5,15 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as driver
+from parcelpay.plans.registry import REPORTS
 from tests.compare import connect, difference
 from tests.conftest import SMALL
 
-NAMES = sorted(driver.queries())
+NAMES = sorted(driver.oracle_sql())
 
 
-def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+def test_every_report_has_sql():
+    assert set(REPORTS) <= set(driver.oracle_sql()) <= set(driver.queries())
 
 
 @pytest.fixture(scope="module")

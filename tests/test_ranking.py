@@ -10,7 +10,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from parcelpay.operators.ranking import rank_within
+from parcelpay.operators.ranking import ROWS_PER_TASK, cuts, rank_within
 
 DDL = "a string, b int, con string, other int"
 
@@ -60,9 +60,40 @@ def test_hot_group_is_spread_over_parts_whatever_its_texts_share(spark, head):
 def test_nothing_large_leaves_a_plain_window(spark):
     data = [(f"k{i}", i, f"C{i}", 0) for i in range(500)]
     df = spark.createDataFrame(data, DDL)
-    out = rank_within(df, ["a", "b"], "con", load=df, load_keys=["a", "b"])
-    assert Counter(tuple(r) for r in out.select("a", "b", "con", "other", "rank").collect()) == brute(data)
-    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+    out = rank_within(df, ["a", "b"], "con", load=df, load_keys=["a", "b"]).select("a", "b", "con", "other", "rank")
+    assert Counter(tuple(r) for r in out.collect()) == brute(data)
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in final and "Join" not in final and "Window" in final
+
+
+def test_building_the_rank_runs_no_job(spark):
+    df = spark.createDataFrame(skewed(300), DDL)
+    spark.sparkContext.setJobGroup("building", "building")
+    out = rank_within(df, ["a", "b"], "con", load=df, load_keys=["a", "b"], rows_per_task=20)
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == []
+    spark.sparkContext.setJobGroup("running", "running")
+    assert out.count() == 300
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("running"))
+
+
+def test_a_group_of_ten_million_rows_is_in_many_pieces(spark):
+    """With production settings; only the pieces are looked at."""
+    rows = spark.range(0, 10_000_000, 1, 8).select(
+        F.lit("hot").alias("a"), F.lit(1).alias("b"), F.concat(F.lit("LM2023"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("con")
+    )
+    found = cuts(rows, ["a", "b"], "con", ROWS_PER_TASK).collect()
+    assert len(found) == 1
+    texts = found[0]["_cuts"]
+    assert len(texts) > 64 and texts == sorted(texts)
+    places = [0, *[int(t[6:]) for t in texts], 10_000_000]
+    assert max(b - a for a, b in zip(places, places[1:])) < ROWS_PER_TASK
+
+
+def test_a_group_of_few_texts_is_cut_between_them(spark):
+    rows = [("hot", 1, f"T{i % 9}", i) for i in range(2000)]
+    df = spark.createDataFrame(rows, DDL)
+    assert ranked(spark, rows, rows_per_task=100) == brute(rows)
+    assert len(cuts(df, ["a", "b"], "con", 100).collect()[0]["_cuts"]) >= 8
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
