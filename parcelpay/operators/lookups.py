@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 # Largest table, in bytes as stored, that a report offers for broadcast. A session may set another value.
 BROADCAST_LIMIT_KEY = "spark.parcelpay.broadcastLimitBytes"
 BROADCAST_LIMIT = 32 * 1024 * 1024
+# "true" joins bands through a search index: worth its second join where keys have hundreds of bands.
+BAND_INDEX_KEY = "spark.parcelpay.bandIndex"
 
 
 def size_bound(df: DataFrame) -> int | None:
@@ -49,17 +51,27 @@ def band_join(
             (no upper limit when None)
     keep    band expressions to add to the fact, by output name
     A fact inside several bands appears once per band.
+
+    Within a key, every band is a candidate, and the ranges decide. A session that sets `spark.parcelpay.bandIndex` has
+    facts meet, through `piece_index`, only the bands near their value; the result is the same.
     """
     keys = {f"_key{i}": band for i, (_, band) in enumerate(equal)}
     lows = {f"_low{i}": low for i, (_, low, _) in enumerate(within)}
     highs = {f"_high{i}": high for i, (_, _, high) in enumerate(within) if high is not None}
     parts = {**keys, **lows, **highs}
     side = bands.select(*[expr.alias(name) for name, expr in {**parts, **keep}.items()])
-    side = broadcast_within_limit(side, bands if sized_by is None else sized_by)
+    sized_by = bands if sized_by is None else sized_by
+    pairs = [(fact, f"_key{i}") for i, (fact, _) in enumerate(equal)]
+    indexed = facts.sparkSession.conf.get(BAND_INDEX_KEY, "false") == "true"
+    if indexed and "_high0" in parts and isinstance(within[0][0], str):
+        facts, side = piece_index(facts, side, pairs, within[0][0], sized_by, how)
+        pairs = [*pairs, ("_piece", "_piece_of")]
+        parts = {**parts, "_piece": None, "_piece_of": None}
+    side = broadcast_within_limit(side, sized_by)
 
     condition = None
-    for i, (fact, _) in enumerate(equal):
-        term = facts[fact] == side[f"_key{i}"]
+    for fact, key in pairs:
+        term = facts[fact] == side[key]
         condition = term if condition is None else condition & term
     for i, (fact, _, high) in enumerate(within):
         start, end = (fact, fact) if isinstance(fact, str) else fact
@@ -69,6 +81,52 @@ def band_join(
     return facts.join(side, condition, how).drop(*parts)
 
 
+# A search step splits in four; so many steps tell 4 ** STEPS pieces of a key apart, and the last one holds all further.
+SPLIT, STEPS = 4, 6
+
+
+def piece_index(
+    facts: DataFrame, side: DataFrame, pairs: Sequence[tuple[str, str]], value: str, sized_by: DataFrame, how: str
+) -> tuple[DataFrame, DataFrame]:
+    """Facts with the `_piece` of their key's value range that holds `value`, bands once per `_piece_of` they reach into.
+
+    The lower limits of a key cut its values into pieces, and the number of limits up to a value is the number of its
+    piece. Each key has one row of sorted limits, which a fact searches by bisection. A band reaches from the piece of
+    its lower limit to that of its upper one, so neighbours that touch share one piece, and a fact meets the bands of its
+    own piece only instead of all of its key. The caller's join keeps the ranges as conditions; they decide, and only
+    there is an overlap of a band with its piece tested.
+    """
+    names = [key for _, key in pairs]
+    limits = side.filter("_low0 is not null").groupBy(*names).agg(F.array_sort(F.collect_set("_low0")).alias("_limits"))
+    keyed = [F.col(key).alias(f"{key}_of") for key in names]
+    found = broadcast_within_limit(limits.select(*keyed, "_limits"), sized_by)
+    on = None
+    for fact, key in pairs:
+        term = facts[fact] == found[f"{key}_of"]
+        on = term if on is None else on & term
+    located = locate(facts.join(found, on, how).drop(*[f"{key}_of" for key in names]), "_limits", value, "_piece").drop("_limits")
+
+    bands = side.join(limits, names)
+    bands = locate(bands, "_limits", "_low0", "_first")
+    bands = locate(bands, "_limits", "_high0", "_last").drop("_limits")
+    reached = F.sequence("_first", F.greatest("_first", "_last"))
+    return located, bands.filter("_low0 is not null and _high0 is not null").withColumn("_piece_of", F.explode(reached)).drop("_first", "_last")
+
+
+def locate(rows: DataFrame, limits: str, value: str, out: str) -> DataFrame:
+    """`out`: how many of the sorted `limits` are at most `value`. Each step is plain arithmetic on a few array elements,
+    so all of them stay in compiled code; null where the row has no limits or no value."""
+    column = F.when(F.col(limits).isNotNull() & F.col(value).isNotNull(), F.lit(0))
+    for step in range(STEPS - 1, -1, -1):
+        rows = rows.withColumn(out, column)
+        width = SPLIT**step
+        column = F.col(out)
+        for k in range(1, SPLIT):
+            passed = F.coalesce(F.get(limits, F.col(out) + (k * width - 1)) <= F.col(value), F.lit(False))
+            column = column + F.when(passed, width).otherwise(0)
+    return rows.withColumn(out, column)
+
+
 def master_join(
     facts: DataFrame, master: DataFrame, fact_key: str, master_key: str, keep: Mapping[str, Column], how: str = "inner",
     sized_by: DataFrame | None = None,

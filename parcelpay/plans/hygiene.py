@@ -36,23 +36,20 @@ def rider_days(rows: DataFrame, rules: HygieneRules) -> DataFrame:
     """The state of a rider's day from which all roll-ups are taken: `failures`, the distinct consignments not closed in
     time, and `profiles`, the master rows (category, start, model) under which the rider delivered.
 
-    A consignment counts once however many master rows a rider has, so profiles are gathered per consignment first; the
-    next exchange moves one row per rider and day from each task. The days' counts are disjoint and just add up. A
-    delivery without a day is in no month and goes.
+    A consignment counts once however many master rows a rider has. Counting distinct failures lets the map side drop
+    every consignment closed in time, and the days' counts are disjoint, so months just add them up. A delivery without a
+    day is in no month and goes.
 
     All three results are aggregates, and the filter, which every day passes, reads them all: so no roll-up's own columns
     or join keys reach below, each keeps the whole state, and they share its exchange.
     """
-    rider = ["pc_code", "biker_code", "delivery_date"]
-    profile = F.struct("vendor_category", "onboarding_date", "model")
-    rows = rows.filter("delivery_date is not null")
-    parcels = rows.groupBy(*rider, "consignment", "delivery_datetime", "handover_datetime").agg(
-        F.array_sort(F.collect_set(profile)).alias("profiles")
-    )
     late = within(F.col("delivery_datetime"), F.col("handover_datetime"), rules.window_seconds) == "No"
-    days = parcels.groupBy(*rider).agg(
-        F.count(F.when(late, 1)).alias("failures"),
-        F.array_distinct(F.flatten(F.collect_set("profiles"))).alias("profiles"),
+    # NULL times and numbers would not count inside a distinct, a struct of them does.
+    failure = F.when(late, F.struct("consignment", "delivery_datetime", "handover_datetime"))
+    profile = F.struct("vendor_category", "onboarding_date", "model")
+    days = rows.filter("delivery_date is not null").groupBy("pc_code", "biker_code", "delivery_date").agg(
+        F.count_distinct(failure).alias("failures"),
+        F.collect_set(profile).alias("profiles"),
         F.max(month_number(F.col("delivery_date"))).alias("pay_out_month"),
     )
     return days.filter((F.col("failures") >= 0) & (F.size("profiles") > 0) & (F.col("pay_out_month") > 0))
