@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from parcelpay.operators import calendar, cod, hvdi, kpi, riders
 from parcelpay.operators import sla as scores
 from parcelpay.operators import consignments as con
-from parcelpay.plans import assignment, biker, hygiene, sla, vehicle, vendor_total
+from parcelpay.names import FACTS
+from parcelpay.plans import assignment, biker, handoff, hygiene, sla, vehicle, vendor_total
 from parcelpay.plans import consignments as vendor
 from parcelpay.rules import SETTLEMENT_LABELS, HygieneRules, SlaRules, VendorRules
 from parcelpay.session import tune
+from parcelpay.sources.sinks import shared_folder
 from parcelpay.sources.star import star_tables
 from parcelpay.sources.tables import ReportTables
 
@@ -22,6 +24,8 @@ from parcelpay.sources.tables import ReportTables
 AS_OF = date(2023, 3, 31)
 TWO_YEARS = date(2024, 12, 31)
 RUN_TS = datetime(2023, 4, 1, 6, 0, 0)
+# The published month summary of the registered run knows the remittances before this.
+PUBLISHED_AT = datetime(2023, 3, 6)
 
 Report = Callable[[ReportTables], DataFrame]
 
@@ -85,6 +89,29 @@ def _with_summaries(t: ReportTables) -> ReportTables:
     )
 
 
+def _refreshed_summary(t: ReportTables) -> DataFrame:
+    """Vendor months as published before late remittances came in, brought up to date month by month."""
+    rules = VendorRules.v2(cod_sign=1)
+    remittances = t["cod_remittance"]
+    root = shared_folder(remittances.sparkSession, "months")
+    facts = handoff.partition_by_month(t[FACTS], f"{root}/facts")
+    now = t.with_frames(**{FACTS: facts})
+    before = now.with_frames(cod_remittance=remittances.filter(~handoff.arrived(remittances, PUBLISHED_AT)))
+    handoff.publish(vendor.combined_summary, before, f"{root}/summary")
+    handoff.changed_months(facts, remittances, rules, PUBLISHED_AT).write.parquet(f"{root}/changed")
+    months = remittances.sparkSession.read.parquet(f"{root}/changed")
+    return handoff.refresh(vendor.combined_summary, now, FACTS, months, f"{root}/summary")
+
+
+def _published_vendor_summary(t: ReportTables) -> DataFrame:
+    """The vendor total over summaries of riders and vehicles that were published and are read from their files."""
+    root = shared_folder(t["biker_master"].sparkSession, "summaries")
+    riders_ = handoff.publish(biker.biker_summary, t, f"{root}/riders")
+    vehicles = handoff.publish(vehicle.vehicle_summary, t, f"{root}/vehicles")
+    known = t.with_frames(**{sla.BIKER_SUMMARY: riders_, sla.VEHICLE_SUMMARY: vehicles})
+    return vendor_total.vendor_summary(known, SlaRules(RUN_TS))
+
+
 def _sla_colours(t: ReportTables) -> DataFrame:
     return scores.centre_colours(scores.centre_scores(t), t["sla_master_table"], SlaRules())
 
@@ -123,6 +150,8 @@ REPORTS: dict[str, Report] = {
     "shipment_ranks": lambda t: _shipment_ranks(t, "timestamp"),
     "shipment_ranks_by_day": lambda t: _shipment_ranks(t, "day"),
     "cod_penalties": lambda t: cod.cod_penalties(t["cod_remittance"], VendorRules.v2()).distinct(),
+    "combined_summary_refreshed": _refreshed_summary,
+    "vendor_summary_published": _published_vendor_summary,
     "kpi_percents": lambda t: kpi.kpi_percents(t["ndv_kpi_table"], t["ndv_kpi_master"]),
 }
 
