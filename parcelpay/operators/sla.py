@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelpay.functions.money import exact_sum
 from parcelpay.names import KIND
 from parcelpay.operators.lookups import band_join, master_join
 from parcelpay.rules import COMMERCIALS, SlaRules
@@ -77,7 +78,7 @@ def colour_percents(bands: DataFrame) -> DataFrame:
 def centre_months(summary: DataFrame, code: str) -> DataFrame:
     """Pay per centre, model, kind of pay and month of a month summary."""
     return summary.groupBy(F.col(code).alias("pc_code"), "model", KIND, "pay_out_month").agg(
-        F.sum("payable_amount").alias("payable_amount")
+        exact_sum(F.col("payable_amount")).alias("payable_amount")
     )
 
 
@@ -89,7 +90,7 @@ def centre_commercials(months: DataFrame) -> DataFrame:
     """
     is_commercial = F.col(KIND) == COMMERCIALS
     sums = months.groupBy("pc_code", "pay_out_month").agg(
-        F.sum(F.when(is_commercial, F.col("payable_amount"))).alias("commercial_amount"),
+        exact_sum(F.when(is_commercial, F.col("payable_amount"))).alias("commercial_amount"),
         F.coalesce(F.bool_or(is_commercial), F.lit(False)).alias("_any"),
     )
     return sums.filter("_any").select("pc_code", "commercial_amount")

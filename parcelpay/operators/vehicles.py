@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelpay.functions.money import slab_price
+from parcelpay.functions.money import exact_sum, slab_price
 from parcelpay.functions.workers import worker_model
 from parcelpay.operators.consignments import open_upper
 from parcelpay.operators.lookups import band_join
@@ -96,7 +96,7 @@ def vehicle_hvdi(rows: DataFrame, slabs: DataFrame, rules: VehicleRules) -> Data
         .groupBy(*identity, F.col("hvdi_model").alias("model"), "delivery_date")
         .agg(
             F.count_distinct("consignment").alias("no_of_consignment_number"),
-            F.sum(F.col("charge_weight") * F.col("copies")).alias("_weight"),
+            exact_sum(F.col("charge_weight") * F.col("copies")).alias("_weight"),
         )
         .withColumns({"_whole": F.rint("_weight").cast("long"), "charge_weight": F.ceil("_weight").cast("double")})
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelpay.functions.money import exact_sum
 from parcelpay.functions.times import distinct_days, month_label, year_number
 from parcelpay.names import KIND
 from parcelpay.operators.hvdi import rider_hvdi
@@ -49,7 +50,7 @@ def biker_detailed(tables: ReportTables, **split) -> DataFrame:
     days = lines.groupBy(*keys, KIND).agg(
         F.count("consignment").alias("no_of_consignments"),
         F.max("rate_per_shipment").alias("rate"),
-        F.sum("rate_per_shipment").alias("payables"),
+        exact_sum(F.col("rate_per_shipment")).alias("payables"),
     )
     hvdi = rider_hvdi(rows, tables["hvdi_incentive"]).select(*keys, *money).distinct()
     # Each side is distinct and the kind of pay tells them apart.
@@ -95,7 +96,7 @@ def biker_summary(tables: ReportTables, rules: BikerRules | None = None, **split
         .agg(
             distinct_days(F.col("delivery_date")).alias("no_of_days_delivered"),
             F.count_distinct("consignment").alias("total_consignments"),
-            F.sum("rate_per_shipment").alias("total_commercials"),
+            exact_sum(F.col("rate_per_shipment")).alias("total_commercials"),
         )
     )
     days, working = F.col("no_of_days_delivered"), F.col("no_of_total_working_days")
@@ -127,7 +128,7 @@ def biker_summary(tables: ReportTables, rules: BikerRules | None = None, **split
     commercials = months.withColumn("payable_amount", pay).select(*_MONTH_KEYS, *_MONTH_METRICS).distinct()
 
     hvdi = rider_hvdi(rows, tables["hvdi_incentive"]).groupBy(*_MONTH_KEYS, KIND, "cm_type")
-    hvdi = hvdi.agg(F.sum("payables").alias("payable_amount")).withColumns(
+    hvdi = hvdi.agg(exact_sum(F.col("payables")).alias("payable_amount")).withColumns(
         {
             **{c: F.lit(0).cast("long") for c in ("no_of_days_delivered", "total_consignments", "attendance")},
             **{c: F.lit(0.0) for c in ("productivity", "guaranteedamount", "total_commercials")},

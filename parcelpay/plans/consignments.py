@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelpay.functions.money import gain, loss
+from parcelpay.functions.money import exact_sum, gain, loss
 from parcelpay.functions.times import distinct_days, month_label, month_number, year_number
 from parcelpay.operators.cod import distinct_penalties, with_cod
 from parcelpay.operators.consignments import (
@@ -191,18 +191,18 @@ def _day_level(rows: DataFrame, months: dict[str, Column]) -> DataFrame:
 
     def total(kind: str) -> Column:
         columns = [F.col(f"{k}_{kind}") for k in KPI_NAMES]
-        return F.sum(columns[0] + columns[1] + columns[2])
+        return exact_sum(columns[0] + columns[1] + columns[2])
 
     keys = ["vendor_code", "vendor_name", "category_model", "delivery_date", *months, "product", *percents]
     days = lines.groupBy(*keys).agg(
         # The key belongs to the consignment number, so counting both counts the numbers, on the same exchange.
         F.count_distinct("cod_key", "consignment_number").alias("no_of_consignments_delivered"),
         F.sum(F.when(F.col("eligible") == "Yes", 1).otherwise(0)).alias("no_of_consignments_eligible"),
-        F.sum("commercial").alias("commercials"),
+        exact_sum(F.col("commercial")).alias("commercials"),
         total("incentive").alias("incentive"),
         total("penalty").alias("penalty"),
-        F.sum(F.coalesce("codpenalty", F.lit(0.0))).alias("cod_penalty"),
-        F.sum("net_payable").alias("net_payables"),
+        exact_sum(F.coalesce("codpenalty", F.lit(0.0))).alias("cod_penalty"),
+        exact_sum(F.col("net_payable")).alias("net_payables"),
     )
     up = [gain(F.col(p)) for p in percents]
     down = [loss(F.col(p)) for p in percents]
@@ -263,10 +263,10 @@ def combined_summary(tables: ReportTables, rules: VendorRules | None = None) ->
         F.sum("no_of_consignments_delivered").alias("no_of_consignments_delivered"),
         F.sum("no_of_consignments_eligible").alias("no_of_consignments_eligible"),
         distinct_days(F.col("delivery_date")).alias("days_delivered"),
-        F.sum("commercials").alias("commercial_payable"),
-        F.sum("incentive").alias("incentives"),
-        F.sum(F.col("penalty") - F.coalesce(cod, F.lit(0.0))).alias("penalty"),
-        F.sum("net_payables").alias("total_payables"),
+        exact_sum(F.col("commercials")).alias("commercial_payable"),
+        exact_sum(F.col("incentive")).alias("incentives"),
+        exact_sum(F.col("penalty") - F.coalesce(cod, F.lit(0.0))).alias("penalty"),
+        exact_sum(F.col("net_payables")).alias("total_payables"),
     )
     failed = F.col("no_of_consignments_delivered") - F.col("no_of_consignments_eligible")
     return months.select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelpay.functions.money import exact_sum
 from parcelpay.functions.times import distinct_days, month_label, year_number
 from parcelpay.names import KIND
 from parcelpay.operators.riders import with_availability
@@ -86,7 +87,7 @@ def vehicle_summary(tables: ReportTables, rules: VehicleRules | None = None) ->
     ).agg(
         distinct_days(F.col("delivery_date")).alias("no_of_days_delivered"),
         F.count_distinct("consignment").alias("no_of_consignments"),
-        F.sum("commercials").alias("commercials_payables"),
+        exact_sum(F.col("commercials")).alias("commercials_payables"),
     )
     days, guarantee = F.col("no_of_days_delivered"), F.col("guaranteed_amount")
     prorated = F.try_divide(guarantee * days, F.col("no_of_working_days_in_a_month"))
@@ -109,7 +110,7 @@ def vehicle_summary(tables: ReportTables, rules: VehicleRules | None = None) ->
 
     hvdi = _with_month(vehicle_hvdi(rows, tables["vehicle_hvdi"], rules), HVDI)
     hvdi = hvdi.withColumn("onboarding_date", F.lit(None).cast("date")).groupBy(*_MONTH_KEYS, KIND)
-    hvdi = hvdi.agg(F.sum("payables").alias("payable_amount")).withColumns(
+    hvdi = hvdi.agg(exact_sum(F.col("payables")).alias("payable_amount")).withColumns(
         {
             **{
                 c: F.lit(0).cast("long")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelpay.functions.money import exact_sum
 from parcelpay.names import KIND
 from parcelpay.operators.sla import centre_commercials, centre_months
 from parcelpay.plans.sla import BIKER_SUMMARY, VEHICLE_SUMMARY, sla_pay
@@ -23,7 +24,7 @@ def vendor_summary(
     riders = centre_months(tables[BIKER_SUMMARY], "pc_code")
     vehicles = centre_months(tables[VEHICLE_SUMMARY], "vendor_code")
     models = [
-        months.groupBy("pc_code", "model", KIND).agg(F.sum("payable_amount").alias("amount"))
+        months.groupBy("pc_code", "model", KIND).agg(exact_sum(F.col("payable_amount")).alias("amount"))
         for months in (vehicles, riders)
     ]
     sums = models[0].unionByName(models[1])
@@ -33,8 +34,8 @@ def vendor_summary(
     centres = (
         sums.groupBy("pc_code")
         .agg(
-            F.sum(F.when(commercial, F.col("amount"))).alias("commercial_payables"),
-            F.coalesce(F.sum(F.when(hvdi, F.col("amount"))), F.lit(0.0)).alias("hvdi_payables"),
+            exact_sum(F.when(commercial, F.col("amount"))).alias("commercial_payables"),
+            F.coalesce(exact_sum(F.when(hvdi, F.col("amount"))), F.lit(0.0)).alias("hvdi_payables"),
             F.coalesce(F.bool_or(commercial), F.lit(False)).alias("_any"),
         )
         .filter("_any")
