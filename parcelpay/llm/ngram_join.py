@@ -37,37 +37,44 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_c
 
     Two documents link when 100 * intersection >= percent * union of their shingle sets; component_id is the smallest id
     reachable over links. Documents without words (null and empty texts) link with nothing and are their own component.
-    Rows that share an id count as one document, whose rows link. A null id gets the component of the documents with the
-    same set, null if there is none. Other columns are not read. Shingles are told apart by 64-bit hashes.
+    Every row counts by its own text: rows that share an id may lie in different components. Rows of null id take part and
+    link others; their component's id is null only where no row of it has an id. Other columns are not read. Shingles and
+    sets are told apart by 64-bit hashes. An empty table gives an empty result.
+    """
+    rows, labels, _ = grouped(docs, shingle, percent, id_col, text_col)
+    return (
+        rows.join(labels, "k", "left")
+        .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    )
+
 
-    Equal sets are one class throughout. Signatures (`signatures`) bring together candidates, of which a bucket's
-    members are first verified against its smallest id. Only pairs that this leaves in different components are compared
-    further, in blocks, by sizes and parity sketches, which never rule out a link, and then verified by their sets.
+def grouped(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """`rows` (doc_id, n, k), `labels` (k, component_id) and `chosen` (doc_id, k), one set for each component.
+
+    Equal sets are one class, named by the hash `k`, throughout: copies and their ids play no part before the end.
+    Signatures (`signatures`) bring together candidates, of which a bucket's members are first verified against its
+    smallest name. Only pairs that this leaves in different components are compared further, in blocks, by sizes and
+    parity sketches, which never rule out a link, and then verified by their sets.
     """
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    hashed = source.select("doc_id", shingle_set(F.col("text"), shingle).alias("set"))
-    sized = written(hashed.select("doc_id", F.size("set").cast("long").alias("n"), F.xxhash64("set").alias("k"), F.hash("set").alias("j")), "sizes")
-    with_words = sized.filter("n > 0")
-    firsts = with_words.groupBy("n", "k", "j").agg(F.min("doc_id").alias("rep"))
-    classes = written(sized.join(firsts, ["n", "k", "j"], "left").select("doc_id", "n", F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("doc_id")).alias("rep")), "classes")
-    names = classes.filter("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.min("rep").alias("rep"))
-
-    bands = banded(with_words, percent)
-    kind = docs.schema[id_col].dataType.simpleString()
-    entries = hashed.mapInArrow(lambda batches: indexed(batches, bands), f"signature long, doc_id {kind}")
-    by_signature = entries.repartition("signature").sortWithinPartitions("signature", "doc_id")
-    shared = by_signature.mapInArrow(buckets, f"signature long, doc_id {kind}")
+    hashed = source.select("doc_id", shingle_set(F.col("text"), shingle).alias("set")).withColumn("k", F.xxhash64("set"))
+    rows = written(hashed.select("doc_id", F.size("set").cast("long").alias("n"), "k"), "sizes")
+    classes = written(rows.filter("n > 0").groupBy("k", "n").agg(F.min("doc_id").alias("rep")), "classes")
+
+    bands = banded(rows.filter("n > 0"), percent)
+    entries = hashed.select("k", "set").mapInArrow(lambda batches: indexed(batches, bands), "signature long, id long")
+    by_signature = entries.repartition("signature").sortWithinPartitions("signature", "id")
+    shared = by_signature.mapInArrow(buckets, "signature long, id long")
     # copies of a set that other tasks have indexed become one member here
-    members = written(shared.join(names, "doc_id").select("signature", F.col("rep").alias("id")).distinct(), "members")
+    members = written(shared.distinct(), "members")
 
     hubs = members.groupBy("signature").agg(F.min("id").alias("b"))
     stars = written(members.join(hubs, "signature").filter("id <> b").select(F.col("id").alias("a"), "b").distinct(), "stars")
-    taking_part = members.select(F.col("id").alias("doc_id")).distinct()
-    sets = written(sets_of(source, taking_part, shingle, percent), "sets")
+    sets = written(sets_of(source, classes.join(members.select(F.col("id").alias("k")).distinct(), "k", "left_semi"), shingle, percent), "sets")
     star_links = written(verified(stars, sets, percent), "star-links")
-    labels = components(star_links, "stars")
+    found = components(star_links, "stars")
 
-    placed = members.join(labels, "id", "left").select("signature", "id", F.coalesce("component", "id").alias("component"))
+    placed = members.join(found, "id", "left").select("signature", "id", F.coalesce("component", "id").alias("component"))
     open_buckets = (
         placed.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("rows"))
         .filter("low <> high").select("signature", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
@@ -75,11 +82,14 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_c
     rest = placed.join(open_buckets, "signature").join(sets.select("id", "n", "sketch"), "id")
     pairs = written(candidates(rest, percent).join(stars, ["a", "b"], "left_anti"), "pairs")
     links = star_links.unionByName(verified(pairs, sets, percent))
-    whole = components(links, "links")
-    return (
-        classes.join(whole.withColumnRenamed("id", "rep"), "rep", "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
-    )
+    whole = components(links, "links").withColumnRenamed("id", "k")
+    placed = classes.join(whole, "k", "left").select("k", "rep", F.coalesce("component", "k").alias("component"))
+    placed = written(placed, "class-components")
+    # the smallest id, and of sets without any id, the one of the smallest name
+    first = F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "k")).alias("first")
+    firsts = written(placed.groupBy("component").agg(first), "component-firsts")
+    labels = placed.join(firsts, "component").select("k", F.col("first.rep").alias("component_id"))
+    return rows, labels, firsts.select(F.col("first.rep").alias("doc_id"), F.col("first.k").alias("k"))
 
 
 def banded(sized: DataFrame, percent: int):
@@ -94,7 +104,7 @@ def banded(sized: DataFrame, percent: int):
 
 
 def indexed(batches: Iterator, bands) -> Iterator:
-    """(signature, doc_id) of every set; a set that the same task has met before is not indexed again."""
+    """(signature, id) of every set, whose id comes with it; a set that the same task has met before is not indexed again."""
     import numpy as np
     import pyarrow as pa
 
@@ -105,14 +115,13 @@ def indexed(batches: Iterator, bands) -> Iterator:
         ids, sets = batch.column(0), batch.column(1)
         offsets = sets.offsets.to_numpy().astype(np.int64)
         flat = sets.values.to_numpy(zero_copy_only=False).view(np.uint64)
-        known = ids.is_valid().to_numpy(zero_copy_only=False)
         a = 0
         while a < len(ids):
             b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + 400_000, side="right")) - 1)
             b = min(b, len(ids))
             sizes = np.diff(offsets[a : b + 1])
             values = flat[offsets[a] : offsets[b]]
-            fresh = known[a:b].copy()
+            fresh = sizes > 0
             for i in np.flatnonzero(fresh):
                 key = hash(flat[offsets[a + i] : offsets[a + i + 1]].tobytes())
                 if key in seen:
@@ -121,7 +130,7 @@ def indexed(batches: Iterator, bands) -> Iterator:
                     seen.add(key)
             found, owner = signatures(values[np.repeat(fresh, sizes)], sizes[fresh], bands)
             rows = np.flatnonzero(fresh)[owner] + a
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), ids.take(pa.array(rows))], names=["signature", "doc_id"])
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), ids.take(pa.array(rows))], names=["signature", "id"])
             a = b
 
 
@@ -148,18 +157,18 @@ def buckets(batches: Iterator) -> Iterator:
 
 
 def sets_of(source: DataFrame, wanted: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """id, n, set and sketch of the wanted documents.
+    """id, n, set and sketch of the wanted classes (k, rep).
 
     Documents are thinned out before their shuffle by buckets of wanted ids, a table of at most ID_BUCKETS rows; the join
-    by id then is exact.
+    by the hash of the set then is exact.
     """
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(ID_BUCKETS))
-    some = source.join(F.broadcast(wanted.select(bucket.alias("bucket")).distinct()), bucket == F.col("bucket"), "left_semi")
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(ID_BUCKETS))
+    some = source.join(F.broadcast(wanted.select(bucket("rep").alias("bucket")).distinct()), bucket("doc_id") == F.col("bucket"), "left_semi")
     rows = (
-        some.join(wanted, "doc_id", "left_semi")
-        .select(F.col("doc_id").alias("id"), shingle_set(F.col("text"), shingle).alias("set"))
-        .filter(F.size("set") > 0)
-    )
+        some.join(wanted.select(F.struct("rep").alias("of")).distinct(), F.struct(F.col("doc_id").alias("rep")) == F.col("of"), "left_semi")
+        .select(shingle_set(F.col("text"), shingle).alias("set")).filter(F.size("set") > 0).select(F.xxhash64("set").alias("id"), "set")
+        .dropDuplicates(["id"]).join(wanted.select(F.col("k").alias("id")), "id", "left_semi")
+    )
 
     def with_sketch(batches: Iterator) -> Iterator:
         import numpy as np
@@ -177,7 +186,7 @@ def sets_of(source: DataFrame, wanted: DataFrame, shingle: int, percent: int) ->
             )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(with_sketch, f"id {kind}, n long, set array<long>, sketch binary").dropDuplicates(["id"])
+    return rows.mapInArrow(with_sketch, f"id {kind}, n long, set array<long>, sketch binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -246,11 +255,19 @@ def candidates(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The documents whose id is their component's, all columns unchanged: one of each group, and all without words.
+    """One row of each group of linked documents, that of the smallest id, and all rows without words; columns unchanged.
 
-    Repeated rows of one id leave one row.
+    Of rows that share this id, the one whose text is in the group stays; rows equal in id and shingles are one. A group
+    whose rows all have a null id keeps one of them.
     """
-    groups = linked(docs, shingle, percent)
-    first = groups.filter("n_shingles > 0 and doc_id = component_id").select("doc_id").distinct()
+    rows, _, chosen = grouped(docs, shingle, percent, "doc_id", "text")
+    uses = rows.groupBy("doc_id").agg((F.count(F.lit(1)) > 1).alias("__shared"))
+    key = F.struct(F.col("doc_id").alias("id"))  # null ids compare equal inside a struct
+    kept = chosen.select(key.alias("__id"), F.col("k").alias("__k"))
+    kept = kept.join(uses.select(key.alias("__id"), "__shared"), "__id")
     wordless = F.size(words(F.col("text"))) == 0
-    return docs.filter(~wordless).join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.filter(wordless))
+    worded = docs.filter(~wordless).withColumn("__id", key).join(kept, "__id")
+    # an id of one row tells its text; only shared ids have their sets computed again
+    own = F.when(F.col("__shared"), F.xxhash64(shingle_set(F.col("text"), shingle))).otherwise(F.col("__k"))
+    worded = worded.filter(own == F.col("__k")).dropDuplicates(["__id", "__k"])
+    return worded.select(*docs.columns).unionByName(docs.filter(wordless))

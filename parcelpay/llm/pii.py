@@ -24,8 +24,8 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: What a text must hold for a kind's expressions to be tried.
-HINT = {"email": r"@|[(\[]at[)\]]", "ip": r"[0-9]\.[0-9]|\[\.\]", "card": "[0-9]{2}", "phone": "[0-9]{2}"}
+#: What a text must hold for a kind's expressions to be tried: each is implied by all of its kind's expressions.
+HINT = {"email": r"@|[(\[]at[)\]]", "ip": r"[0-9]\[?\.\]?[0-9]", "card": r"[0-9][\x20.-]?[0-9]", "phone": r"\+[0-9]|[0-9]{3}"}
 
 #: Wide nets by kind, which may overlap each other and the base spans.
 GENERATORS = (

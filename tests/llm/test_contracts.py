@@ -171,6 +171,7 @@ def test_shards_have_equal_counts_and_gapless_slots(spark, folder, texts):
 def test_empty_tables_give_no_rows(spark, tmp_path, name):
     spark.createDataFrame([], odd.SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([], "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     assert queries.QUERIES[name](spark, str(tmp_path)).collect() == []
 
 
@@ -178,3 +179,19 @@ def test_pipeline_keeps_clean_documents(spark, folder, tmp_path):
     assert corpus_pipeline.run(spark, folder).count() > 0
     spark.createDataFrame([], odd.SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_base_spans_of_spaced_digits(spark, tmp_path):
+    """Numbers whose digits are all apart are base spans, too."""
+    rows = [
+        (1, "pay 4-1-1-1 1-1-1-1-1-1-1-1-1-1-1-1 now"), (2, "call +1 2 3 4 5 6 7 8 9 ok"), (3, "at 1.2.3.4, 5 . 6"), (4, "x@y.z"),
+        (5, "+1(2)3(4)5(6)7(8)9"), (6, "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1"),
+    ]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r for r in queries.op3_personal_data(spark, str(tmp_path)).collect()}
+    for i, text in rows:
+        kinds = {k: [m for m in re.finditer(p, text) if valid(k, m[0])] for k, p in PATTERNS.items()}
+        listed = ",".join(f"{k}:{m.start()}:{m.end()}" for k in PATTERNS for m in kinds[k])
+        assert [found[i][f"n_{k}"] for k in PATTERNS] == [len(kinds[k]) for k in PATTERNS]
+        assert found[i].base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+    assert found[1].n_card == found[6].n_card == 1 and found[2].n_phone == 1

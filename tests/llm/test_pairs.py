@@ -139,3 +139,22 @@ def test_a_member_that_its_hub_does_not_match_is_tried_with_the_rest(spark):
 
 def test_repeated_lines_of_nothing(strange):
     assert line_dedup.repeated_lines(strange.limit(0)).collect() == []
+
+
+def test_shared_and_null_ids_lose_no_row_and_no_link(spark):
+    """Rows count by their own texts, whatever their ids."""
+    a = " ".join(f"a{i}" for i in range(60))
+    b = " ".join(f"b{i}" for i in range(60))
+    c = " ".join(f"c{i}" for i in range(60))
+    rows = [(3, a, 0), (5, a, 1), (5, b, 2), (7, b + " more", 3), (None, c, 4), (None, c + " end", 5), (9, "alone and short text of its own", 6), (None, None, 7), (5, None, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, k long")
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles, r.component_id) for r in ngram_join.linked(docs, shingle=3, percent=90).collect())
+    want = [(3, 58, 3), (5, 58, 3), (5, 58, 5), (7, 59, 5), (None, 58, None), (None, 59, None), (9, 5, 9), (None, 0, None), (5, 0, 5)]
+    assert got == sorted((i is None, i or 0, n, c) for i, n, c in want)
+    kept = ngram_join.one_of_each(docs)
+    assert kept.columns == docs.columns
+    numbers = {r.k for r in kept.collect()}
+    assert numbers in ({0, 2, 4, 6, 7, 8}, {0, 2, 5, 6, 7, 8})
+    assert ngram_join.one_of_each(docs.limit(0)).count() == 0
+    twice = ngram_join.one_of_each(docs.unionByName(docs))
+    assert twice.filter("text is not null").count() == 4
