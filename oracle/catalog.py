@@ -8,3 +8,5 @@ ORACLE_SQL: dict[str, str] = {**vendor_con.texts(), **riders.texts(), **centres.
 # Kept up to date or read from published files, a summary is the one computed anew.
 ORACLE_SQL["combined_summary_refreshed"] = ORACLE_SQL["combined_summary"]
 ORACLE_SQL["vendor_summary_published"] = ORACLE_SQL["vendor_summary"]
+for name in ("biker_con_level", "weight_con_level"):
+    ORACLE_SQL[f"{name}_co_located"] = ORACLE_SQL[name]

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from parcelpay.functions.times import elapsed_seconds, parse_stamp
 from parcelpay.rules import VendorRules
 
+#: The column of a stored fact table that holds `cod_key` already.
+STORED_KEY = "_cod_key"
+
 
 def cod_key(consignment: Column, rules: VendorRules) -> Column:
     """Key under which a consignment is remitted: 12-character numbers lose their suffix of three."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from parcelpay.functions.money import gain, loss, slab_price
 from parcelpay.functions.times import parse_stamp, within
-from parcelpay.operators.cod import cod_key
+from parcelpay.operators.cod import STORED_KEY, cod_key
 from parcelpay.operators.kpi import KPI_NAMES
 from parcelpay.operators.lookups import band_join, broadcast_within_limit, master_join
 from parcelpay.operators.ranking import rank_within
@@ -72,6 +72,7 @@ def read_consignments(tables: ReportTables, rules: VendorRules) -> DataFrame:
         "product",
         F.upper("dox_type").alias("dox_key"),
         F.upper("product").alias("product_key"),
+        *[c for c in facts.columns if c == STORED_KEY],
     )
     eligible = within(F.col("delivered_at"), F.col("handed_over_at"), rules.window_seconds)
     return facts.withColumns({"delivery_day": F.to_date("delivered_at"), "eligible": eligible})
@@ -147,6 +148,9 @@ def price_by_rank(facts: DataFrame, rates: DataFrame, rules: VendorRules) -> Dat
 
 
 def with_cod_key(facts: DataFrame, rules: VendorRules) -> DataFrame:
+    """Add `cod_key`, taken from the stored table where that has it: Spark then knows how the rows are dealt."""
+    if STORED_KEY in facts.columns:
+        return facts.withColumnRenamed(STORED_KEY, "cod_key")
     return facts.withColumn("cod_key", cod_key(F.col("consignment_number"), rules))
 
 

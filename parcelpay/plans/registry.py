@@ -16,6 +16,7 @@ from parcelpay.plans import assignment, biker, handoff, hygiene, sla, vehicle, v
 from parcelpay.plans import consignments as vendor
 from parcelpay.rules import SETTLEMENT_LABELS, HygieneRules, SlaRules, VendorRules
 from parcelpay.session import tune
+from parcelpay.sources.buckets import co_located
 from parcelpay.sources.sinks import shared_folder
 from parcelpay.sources.star import star_tables
 from parcelpay.sources.tables import ReportTables
@@ -112,6 +113,11 @@ def _published_vendor_summary(t: ReportTables) -> DataFrame:
     return vendor_total.vendor_summary(known, SlaRules(RUN_TS))
 
 
+def _co_located(t: ReportTables, remitted: VendorRules | None = None) -> ReportTables:
+    spark = t["biker_master"].sparkSession
+    return co_located(t, shared_folder(spark, "by-number"), int(spark.conf.get("spark.sql.shuffle.partitions")), remitted)
+
+
 def _sla_colours(t: ReportTables) -> DataFrame:
     return scores.centre_colours(scores.centre_scores(t), t["sla_master_table"], SlaRules())
 
@@ -150,6 +156,8 @@ REPORTS: dict[str, Report] = {
     "shipment_ranks": lambda t: _shipment_ranks(t, "timestamp"),
     "shipment_ranks_by_day": lambda t: _shipment_ranks(t, "day"),
     "cod_penalties": lambda t: cod.cod_penalties(t["cod_remittance"], VendorRules.v2()).distinct(),
+    "biker_con_level_co_located": lambda t: biker.biker_con_level(_co_located(t)),
+    "weight_con_level_co_located": lambda t: vendor.weight_con_level(_co_located(t, VendorRules.v1()).v1_slabs()),
     "combined_summary_refreshed": _refreshed_summary,
     "vendor_summary_published": _published_vendor_summary,
     "kpi_percents": lambda t: kpi.kpi_percents(t["ndv_kpi_table"], t["ndv_kpi_master"]),
