@@ -30,9 +30,14 @@ def broadcast_within_limit(df: DataFrame, sized_by: DataFrame | None = None) ->
     is a product of sizes. Above the limit the frame is returned as it is: the join keeps its equality keys, so Spark
     plans a shuffled join and splits skewed partitions at run time.
     """
+    return F.broadcast(df) if fits_broadcast(df if sized_by is None else sized_by) else df
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the stated size of a frame is within the session's limit."""
     limit = int(df.sparkSession.conf.get(BROADCAST_LIMIT_KEY, str(BROADCAST_LIMIT)))
-    size = size_bound(df if sized_by is None else sized_by)
-    return F.broadcast(df) if size is not None and size <= limit else df
+    size = size_bound(df)
+    return size is not None and size <= limit
 
 
 def band_join(
