@@ -52,8 +52,8 @@ def grouped(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col:
     """`rows` (doc_id, n, k), `labels` (k, component_id) and `chosen` (doc_id, k), one set for each component.
 
     Equal sets are one class, named by the hash `k`, throughout: copies and their ids play no part before the end.
-    Signatures (`signatures`) bring together candidates, of which a bucket's members are first verified against its
-    smallest name. Only pairs that this leaves in different components are compared further, in blocks, by sizes and
+    Signatures (`signatures`) bring together candidates, of which a bucket's members are first verified against the set
+    of its smallest id. Only pairs that this leaves in different components are compared further, in blocks, by sizes and
     parity sketches, which never rule out a link, and then verified by their sets.
     """
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -66,9 +66,12 @@ def grouped(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col:
     by_signature = entries.repartition("signature").sortWithinPartitions("signature", "id")
     shared = by_signature.mapInArrow(buckets, "signature long, id long")
     # copies of a set that other tasks have indexed become one member here
-    members = written(shared.distinct(), "members")
+    order = classes.select(F.col("k").alias("id"), F.col("rep").isNull().alias("none"), "rep")
+    members = written(shared.distinct().join(order, "id"), "members")
 
-    hubs = members.groupBy("signature").agg(F.min("id").alias("b"))
+    # the first document of a bucket is most often the one that its near copies were made from
+    hubs = members.groupBy("signature").agg(F.min(F.struct("none", "rep", "id")).alias("first")).select("signature", F.col("first.id").alias("b"))
+    members = members.select("signature", "id")
     stars = written(members.join(hubs, "signature").filter("id <> b").select(F.col("id").alias("a"), "b").distinct(), "stars")
     sets = written(sets_of(source, classes.join(members.select(F.col("id").alias("k")).distinct(), "k", "left_semi"), shingle, percent), "sets")
     star_links = written(verified(stars, sets, percent), "star-links")
