@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from oracle import riders
 from oracle.common import as_double, query
+from parcelpay.names import KIND
 
 INPUTS = [*riders.INPUTS, "sla_table", "sla_master_table"]
 RUN = "TIMESTAMP '2023-04-01 06:00:00' AS \"timestamp\""
@@ -59,9 +60,9 @@ def colour_steps() -> list[tuple[str, str]]:
 
 
 PAID = [
-    ("earned", """
+    ("earned", f"""
         SELECT pc_code, pay_out_month, sum(payable_amount) AS amount FROM biker_months
-        WHERE payout_type = 'Commercials' GROUP BY pc_code, pay_out_month"""),
+        WHERE {KIND} = 'Commercials' GROUP BY pc_code, pay_out_month"""),
     ("centre_pay", """
         SELECT j.*, e.amount, b.incentive AS percent, e.amount * b.incentive / 100.0 AS paid
         FROM judged j
@@ -70,7 +71,7 @@ PAID = [
 ]
 PAY = f"""{as_double('amount')} AS commercial_amount, {as_double('percent')} AS payables_percentage,
     {as_double('paid')} AS sla_paid,
-    CASE WHEN percent > 0 THEN 'INCENTIVE' WHEN percent < 0 THEN 'PENALTY' END AS payout_type"""
+    CASE WHEN percent > 0 THEN 'INCENTIVE' WHEN percent < 0 THEN 'PENALTY' END AS {KIND}"""
 TOTAL = f"{as_double('amount + paid')} AS total_payables"
 
 
@@ -88,13 +89,13 @@ def vehicle_sla(total: bool) -> str:
         [
             *vehicle_steps(),
             *score_steps(),
-            ("lane", """
+            ("lane", f"""
                 SELECT *, percent * amount / 100.0 AS paid
                 FROM (SELECT s.pc_code, e.amount, CASE WHEN fad <= 88 AND td <= 90 THEN 'RED' ELSE 'GREEN' END AS sla_colour,
                              CASE WHEN fad <= 88 AND td <= 90 THEN -5 ELSE 0 END AS percent
                       FROM score s
                       JOIN (SELECT vendor_code, pay_out_month, sum(payable_amount) AS amount FROM vehicle_months
-                            WHERE payout_type = 'Commercials' GROUP BY vendor_code, pay_out_month) e
+                            WHERE {KIND} = 'Commercials' GROUP BY vendor_code, pay_out_month) e
                         ON e.vendor_code = s.pc_code) q"""),
         ],
         f"SELECT DISTINCT pc_code, {RUN}, sla_colour, {PAY}{tail} FROM lane",
@@ -105,10 +106,10 @@ def model_sums(kind: str) -> str:
     return f"""
         SELECT pc_code, sum(amount) AS amount
         FROM (SELECT vendor_code AS pc_code, sum(payable_amount) AS amount FROM vehicle_months
-              WHERE payout_type = '{kind}' GROUP BY vendor_code, model
+              WHERE {KIND} = '{kind}' GROUP BY vendor_code, model
               UNION
               SELECT pc_code, sum(payable_amount) FROM biker_months
-              WHERE payout_type = '{kind}' GROUP BY pc_code, model) m
+              WHERE {KIND} = '{kind}' GROUP BY pc_code, model) m
         GROUP BY pc_code"""
 
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from oracle.common import as_double, as_long, month_label, query, stamp, sundays
+from parcelpay.names import FACTS, KIND
 
 INPUTS = [
-    "zpdn_table_payout", "biker_code_test", "biker_master", "cluster_master", "commercials", "hvdi_incentive",
+    FACTS, "biker_code_test", "biker_master", "cluster_master", "commercials", "hvdi_incentive",
     "ndv_commercial_master", "vehicle_commercials", "vehicle_hvdi",
 ]
 WITH_BOY, WITHOUT_BOY = "VEHICLE WITH DELIVERY BOY COMMERCIALS", "VEHICLE WITHOUT DELIVERY BOY COMMERCIALS"
@@ -33,7 +34,7 @@ def delivery_step() -> tuple[str, str]:
         SELECT f.zzconsg_number AS con, f.zzcharge_weight AS w, f.product, f.zzdest_pincode AS pin, f.gpart,
                {stamp('f.zzdelivery_date')} AS d_at, {stamp('f.handover_datetime')} AS h_at,
                CAST({stamp('f.zzdelivery_date')} AS DATE) AS d, r.*, c.type AS cm_type, upper(c.cluster_city) AS city
-        FROM zpdn_table_payout f
+        FROM {FACTS} f
         JOIN biker_code_test a ON a.reference_number = f.zzconsg_number
         JOIN rider r ON r.biker_code = a.worker_code
         JOIN cluster_master c ON c.vendor_code = f.gpart
@@ -105,7 +106,7 @@ def con_columns(category: str) -> str:
     return f"""pc_code, biker_code, {category}actvtn_date AS onboarding_date, d AS delivery_date,
         d_at AS delivery_datetime, h_at AS handover_datetime, {months()}, pin AS pincode, 'Express' AS sbu, model,
         w AS charge_weight, con AS consignment, {as_long('seq')} AS rank, {as_double('rate')} AS rate_per_shipment,
-        'Commercials' AS payout_type"""
+        'Commercials' AS {KIND}"""
 
 
 BY_CATEGORY = "pcc_master AS vendor_category, "
@@ -121,7 +122,7 @@ def biker_summary_select() -> str:
                {as_double('''CASE WHEN whole = 'Yes' AND coalesce(guarantee, 0) > earned THEN guarantee
                     WHEN whole = 'No' AND coalesce(guarantee * days / month_work, 0) > earned
                     THEN guarantee * days / month_work ELSE earned END''')} AS payable_amount,
-               'Commercials' AS payout_type, cm_type
+               'Commercials' AS {KIND}, cm_type
         FROM (SELECT *, CASE WHEN cm_type = 'Internal' AND attendance >= 90 AND productivity BETWEEN 30 AND 40 THEN 15000
                              WHEN cm_type = 'Internal' AND attendance >= 90 AND productivity > 40 THEN 18000
                              WHEN cm_type = 'External' AND attendance >= 80 THEN coalesce(table_guarantee, 0)
@@ -151,10 +152,10 @@ def biker_texts() -> dict[str, str]:
             [*start, ranked_step(False), RATED, *SLABS, hvdi_step(False)],
             f"""SELECT pc_code, biker_code, onboarding_date, delivery_date, pay_out_month, pay_out_year, sbu, model,
                 {as_long('count(consignment)')} AS no_of_consignments, max(rate_per_shipment) AS rate,
-                sum(rate_per_shipment) AS payables, payout_type
+                sum(rate_per_shipment) AS payables, {KIND}
                 FROM (SELECT DISTINCT {con_columns('')} FROM rated) l
                 GROUP BY pc_code, biker_code, onboarding_date, delivery_date, pay_out_month, pay_out_year, sbu, model,
-                         payout_type
+                         {KIND}
                 UNION
                 SELECT pc_code, biker_code, CAST(NULL AS DATE), d, {months()}, 'Express', model, {as_long('parcels')},
                        incentives, {as_double('pay')}, 'HVDI'
@@ -186,7 +187,7 @@ def biker_texts() -> dict[str, str]:
             f"""SELECT DISTINCT f.zzconsg_number, a.reference_number, f.gpart, c.vendor_code, r.pc_code,
                 {as_long(f"month({stamp('f.zzdelivery_date')})")} AS pay_out_month, a.worker_code, r.biker_code,
                 r.model, c.type
-                FROM zpdn_table_payout f
+                FROM {FACTS} f
                 JOIN cluster_master c ON c.vendor_code = f.gpart
                 LEFT JOIN biker_code_test a ON a.reference_number = f.zzconsg_number
                 LEFT JOIN rider r ON r.biker_code = a.worker_code
@@ -247,7 +248,7 @@ def vehicle_detailed(basis: str) -> str:
         f"""SELECT {VEHICLE_IDENTITY}, actvtn_date AS onboarding_date, d AS delivery_date, d_at AS delivery_datetime,
             h_at AS handover_datetime, {months()}, product, pin AS pincode, 'Express' AS sbu, model,
             con AS consignment, w AS charge_weight, {as_long('0')} AS no_of_consignment_number,
-            {as_double('0')} AS incentives, {as_double('price')} AS payables, 'Commercials' AS payout_type, cm_type
+            {as_double('0')} AS incentives, {as_double('price')} AS payables, 'Commercials' AS {KIND}, cm_type
             FROM haul_price
             UNION
             SELECT vehicle, biker_code, gpart, NULL, d, NULL, NULL, {months()}, ' ', ' ', 'Express', hvdi_model, '0',
@@ -265,7 +266,7 @@ def vehicle_summary_steps(basis: str, attendance: int) -> tuple[list[tuple[str,
                {as_long('attendance')} AS attendance, whole AS available_for_the_complete_month,
                guarantee AS guaranteed_amount, due AS guaranteed_payables, {as_double('earned')} AS commercials_payables,
                {as_double(f"CASE WHEN attendance >= {attendance} AND coalesce(due, 0) > earned THEN due ELSE earned END")}
-                   AS payable_amount, 'Commercials' AS payout_type
+                   AS payable_amount, 'Commercials' AS {KIND}
         FROM (SELECT *, ceil(days * 100.0 / own_work) AS attendance,
                      CASE WHEN whole = 'No' THEN guarantee * days / month_work ELSE guarantee END AS due
               FROM (SELECT vehicle_number, vehicle_code, vendor_code, vendor_category, cm_type, onboarding_date,
@@ -309,7 +310,7 @@ def hygiene_text(rate: int, models: str, until: str) -> str:
                 SELECT f.zzconsg_number AS con, r.pc_code, r.biker_code, r.pcc_master, r.actvtn_date, r.short_model,
                        {stamp('f.zzdelivery_date')} AS d_at, {stamp('f.handover_datetime')} AS h_at,
                        CAST({stamp('f.zzdelivery_date')} AS DATE) AS d
-                FROM zpdn_table_payout f
+                FROM {FACTS} f
                 JOIN biker_code_test a ON a.reference_number = f.zzconsg_number
                 JOIN rider r ON r.biker_code = a.worker_code
                 JOIN cluster_master c ON c.vendor_code = r.pc_code AND c.type = 'Internal'

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from oracle.common import as_double, as_long, month_label, query, stamp
+from parcelpay.names import FACTS, FACTS_V1
 
 INPUTS = [
-    "zpdn_table_payout", "ndv_payout", "ndv_vendor_master", "ndv_commercial_master", "cod_remittance",
+    FACTS, FACTS_V1, "ndv_vendor_master", "ndv_commercial_master", "cod_remittance",
     "ndv_kpi_table", "ndv_kpi_master",
 ]
 KPIS = ("fad", "td", "scd")
@@ -13,7 +14,7 @@ MONEY = "commercial, fad, fad_incentive, fad_penalty, td, td_incentive, td_penal
 
 
 def base_steps(version: int) -> list[tuple[str, str]]:
-    fact = "ndv_payout" if version == 1 else "zpdn_table_payout"
+    fact = FACTS_V1 if version == 1 else FACTS
     weight = "zzcharge_weight"
     rated = ""
     if version == 2:

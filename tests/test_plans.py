@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from parcelpay.names import FACTS
 from parcelpay.operators import ranking
 from parcelpay.operators.lookups import BROADCAST_LIMIT_KEY, broadcast_within_limit, size_bound
 from parcelpay.plans import consignments as vendor
@@ -134,16 +135,16 @@ def test_hot_consignment_number_is_split_at_run_time(spark, make, conf, tmp_path
     }
     cod = [{"con_number": "SAME", "delivery_date_timestamp": "05-02-2023 10:00:00", "utr_datetime": "09-02-2023 10:00:00"}]
     rows_by_table = make(
-        zpdn_table_payout=rows, ndv_commercial_master=[slab], cod_remittance=cod,
+        **{FACTS: rows}, ndv_commercial_master=[slab], cod_remittance=cod,
         ndv_vendor_master=[{"vendor_code": "V1", "vendor_name": "One", "vendor_category": "DLV"}],
     )
     # From files, so that Spark knows the sizes.
-    for name in ("zpdn_table_payout", "ndv_commercial_master", "cod_remittance", "ndv_vendor_master", "ndv_kpi_table",
+    for name in (FACTS, "ndv_commercial_master", "cod_remittance", "ndv_vendor_master", "ndv_kpi_table",
                  "ndv_kpi_master"):
         rows_by_table[name].write.parquet(f"{tmp_path}/{name}")
     tables = ReportTables.parquet(spark, str(tmp_path))
-    parcels = tables["zpdn_table_payout"].repartition(6, "zzdest_pincode")
-    report = vendor.con_level_with_logs(tables.with_frames(zpdn_table_payout=parcels))
+    parcels = tables[FACTS].repartition(6, "zzdest_pincode")
+    report = vendor.con_level_with_logs(tables.with_frames(**{FACTS: parcels}))
     df = report.agg(F.sum("net_payable").alias("paid"), F.count("*").alias("n"))
     # 2,000 numbers at 100, and 1,000 rows of the hot one at 100 less the penalty of 50.
     assert tuple(df.collect()[0]) == (250000.0, 3000)

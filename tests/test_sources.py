@@ -11,13 +11,14 @@ from parcelpay.operators.calendar import date_spine, month_calendar, week_calend
 from parcelpay.sources import star
 from parcelpay.sources.fixture_sql import DUCKDB, SPARK, STAR_TABLES, code, padded, with_clause
 from parcelpay.sources.schemas import SCHEMAS
+from parcelpay.names import FACTS
 from parcelpay.sources.sinks import publish_summary
 from parcelpay.sources.tables import ReportTables
 from tests.compare import connect
 from tests.conftest import SMALL
 
 
-@pytest.mark.parametrize("name", ["zpdn_table_payout", "cod_remittance", "biker_code_test", "ndv_commercial_master",
+@pytest.mark.parametrize("name", [FACTS, "cod_remittance", "biker_code_test", "ndv_commercial_master",
                                   "biker_master", "vehicle_hvdi", "sla_master_table"])
 def test_derived_inputs_are_the_same_in_both_engines(spark, name):
     con = connect(SMALL)
@@ -69,13 +70,13 @@ def test_catalog_tables(spark, make):
 
 def test_month_bounds_prune_fact_partitions(spark, make, tmp_path):
     rows = [{"gpart": f"V{m}", "zzcons_status": "DRS"} for m in (1, 2, 3)]
-    fact = make(zpdn_table_payout=rows)["zpdn_table_payout"]
+    fact = make(**{FACTS: rows})[FACTS]
     dated = fact.selectExpr("*", "make_date(2023, CAST(substr(gpart, 2) AS INT), 15) AS delivery_month")
     dated.write.partitionBy("delivery_month").parquet(f"{tmp_path}/fact")
-    tables = ReportTables.of({"zpdn_table_payout": spark.read.parquet(f"{tmp_path}/fact"), "cluster_master": fact})
+    tables = ReportTables.of({FACTS: spark.read.parquet(f"{tmp_path}/fact"), "cluster_master": fact})
     bounded = tables.between_months("delivery_month", date(2023, 2, 20), date(2023, 3, 1))
-    assert sorted(r["gpart"] for r in bounded["zpdn_table_payout"].collect()) == ["V2", "V3"]
-    plan = bounded["zpdn_table_payout"]._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["gpart"] for r in bounded[FACTS].collect()) == ["V2", "V3"]
+    plan = bounded[FACTS]._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(delivery_month" in plan
     assert bounded["cluster_master"].count() == 3
 

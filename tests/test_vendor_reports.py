@@ -7,6 +7,7 @@ from datetime import date
 import pytest
 
 from parcelpay.operators.cod import cod_penalties
+from parcelpay.names import FACTS, FACTS_V1
 from parcelpay.plans import consignments as vendor
 from parcelpay.rules import VendorRules
 
@@ -37,8 +38,8 @@ def world(make, parcels, slabs, **more):
             {"vendor_code": "V1", "vendor_name": "One", "vendor_category": "DLV"},
             {"vendor_code": "V2", "vendor_name": "Two", "vendor_category": "PUD"},
         ],
-        "zpdn_table_payout": parcels,
-        "ndv_payout": parcels,
+        FACTS: parcels,
+        FACTS_V1: parcels,
         "ndv_commercial_master": slabs,
     }
     return make(**(base | more))

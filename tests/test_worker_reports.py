@@ -10,6 +10,7 @@ from parcelpay.operators.hvdi import progressive_slabs
 from parcelpay.operators.sla import centre_colours, centre_scores, vehicle_colour
 from parcelpay.plans import assignment, biker, hygiene, sla, vehicle, vendor_total
 from parcelpay.rules import HygieneRules, SlaRules, VehicleRules
+from parcelpay.names import FACTS, KIND
 from parcelpay.sources.sinks import publish_summary
 
 
@@ -40,7 +41,7 @@ def world(make, rows, riders, kind="Internal", **more):
     steps = [("commercials", "commercials", ((1, 10, 1.0), (11, 1000, 2.0))),
              ("hvdi_incentive", "incentives", ((21, 25, 100.0), (26, 30, 200.0), (31, 999, 300.0)))]
     tables = {
-        "zpdn_table_payout": rows,
+        FACTS: rows,
         "biker_code_test": [
             {"reference_number": number, "worker_code": "B1"} for number in sorted({r["zzconsg_number"] for r in rows})
         ],
@@ -61,7 +62,7 @@ FEBRUARY = [date(2023, 2, d) for d in range(1, 29)]
 
 def test_rider_day(make):
     rows = parcels(27, FEBRUARY[:1])
-    got = {r["payout_type"]: r for r in biker.biker_detailed(world(make, rows + rows, [rider()])).collect()}
+    got = {r[KIND]: r for r in biker.biker_detailed(world(make, rows + rows, [rider()])).collect()}
     pay = got["Commercials"]
     assert (pay["no_of_consignments"], pay["rate"], pay["payables"]) == (27, 2.0, 10 * 1.0 + 17 * 2.0)
     # The second slab counts from 21, so 5 at 100 and 7 at 200 are paid for 27.
@@ -71,7 +72,7 @@ def test_rider_day(make):
 
 
 def commercials(report, tables):
-    rows = [r for r in report(tables).collect() if r["payout_type"] == "Commercials"]
+    rows = [r for r in report(tables).collect() if r[KIND] == "Commercials"]
     assert len(rows) == 1
     return rows[0]
 
@@ -113,7 +114,7 @@ def test_external_rider_without_a_partner_slab_stays_unknown(make):
 def test_no_working_day_gives_unknown_attendance(make):
     rows = parcels(2, [date(2023, 4, 30)])
     month = biker.biker_summary(world(make, rows, [rider(onboarded=date(2023, 4, 30))])).collect()
-    paid = [r for r in month if r["payout_type"] == "Commercials"][0]
+    paid = [r for r in month if r[KIND] == "Commercials"][0]
     assert (paid["no_of_total_working_days"], paid["attendance"], paid["payable_amount"]) == (0, None, 2.0)
 
 
@@ -148,12 +149,12 @@ def test_vehicle_pays_every_lower_slab_and_counts_copies_in_weight(make):
     rows = parcels(2, FEBRUARY[:1], weight=7.5)
     tables = vehicles(make, rows + rows[:1], [rider("YES", "YES")])
     got = vehicle.vehicle_detailed(tables).collect()
-    paid = sorted((r["consignment"], r["payables"]) for r in got if r["payout_type"] == "Commercials")
+    paid = sorted((r["consignment"], r["payables"]) for r in got if r[KIND] == "Commercials")
     # 8 whole kilograms are 3 above the first slab; the second slab holds the weight.
     assert paid == [("C0201000", 25.0), ("C0201000", 30.0), ("C0201001", 25.0), ("C0201001", 30.0)]
-    day = [r for r in got if r["payout_type"] == "HVDI"][0]
+    day = [r for r in got if r[KIND] == "HVDI"][0]
     assert (day["no_of_consignment_number"], day["charge_weight"], day["incentives"], day["payables"]) == (2, 23.0, 1.0, 23.0)
-    by_weight = [r for r in vehicle.vehicle_detailed_weight_hvdi(tables).collect() if r["payout_type"] == "HVDI"][0]
+    by_weight = [r for r in vehicle.vehicle_detailed_weight_hvdi(tables).collect() if r[KIND] == "HVDI"][0]
     assert (by_weight["incentives"], by_weight["payables"]) == (2.0, 46.0)
 
 
@@ -262,7 +263,7 @@ def test_scores_and_vehicle_colour(make):
     }
 
 
-SUMMARY = "pc_code string, vendor_code string, model string, pay_out_month string, payable_amount double, payout_type string"
+SUMMARY = f"pc_code string, vendor_code string, model string, pay_out_month string, payable_amount double, {KIND} string"
 
 
 def test_vendor_total(spark, make, tmp_path):
@@ -284,7 +285,7 @@ def test_vendor_total(spark, make, tmp_path):
     assert totals() == {("V1", 140.0, 60.0, 10.0, 210.0), ("V2", 7.0, 0.0, 0.0, 7.0)}
     assert totals(merge_equal_models=False) == {("V1", 240.0, 60.0, 10.0, 310.0), ("V2", 7.0, 0.0, 0.0, 7.0)}
     paid = sla.sla_detailed(tables, SlaRules(datetime(2023, 4, 1))).collect()
-    assert [(r["commercial_amount"], r["sla_paid"], r["payout_type"], r["total_payables"]) for r in paid] == [
+    assert [(r["commercial_amount"], r["sla_paid"], r[KIND], r["total_payables"]) for r in paid] == [
         (200.0, 10.0, "INCENTIVE", 210.0)
     ]
     assert sla.sla_vehicle(tables).count() == 1
