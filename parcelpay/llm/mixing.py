@@ -48,27 +48,28 @@ def mix(
     Documents are laid out by size first, so every size class gives its share and the words taken stay near the target.
     Prefix sums come from row numbers that are dealt over buckets: a source with most of the rows needs no single task.
 
-    A null text has size 0, a null source is a source of its own and comes last, repeated rows are drawn one by one, and
+    Columns of any names stay as they are, but for one called `mix`, which is replaced. A null text has size 0, a null source is a source of its own and comes last, repeated rows are drawn one by one, and
     an empty table gives an empty one. Only the sizes of sources, one number each, pass the driver. `order` must tell
     rows apart for runs to agree.
     """
-    sized = docs.withColumn("__size", F.size(words(F.col(text_col))).cast("long"))
-    total = {r["s"]: float(r["n"]) for r in sized.groupBy(F.col(source_col).alias("s")).agg(F.sum("__size").alias("n")).collect()}
+    # the whole row as one column, so that no name of the table meets a name of this function
+    of = lambda name: F.col("row").getField(name)
+    sized = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).withColumn("size", F.size(words(of(text_col))).cast("long"))
+    sized = sized.withColumn("source", of(source_col)).withColumns({f"order{i}": of(c) for i, c in enumerate(order)})
+    total = {r["source"]: float(r["n"]) for r in sized.groupBy("source").agg(F.sum("size").alias("n")).collect()}
     goal = targets(total, weights, share, most)
     rows = [(s, int(n), goal[s], goal[s] / n if n else 0.0, random.Random(f"{seed}/{s}").random()) for s, n in total.items()]
-    plan = docs.sparkSession.createDataFrame(rows, "__source string, __total long, __target double, __rate double, __start double")
-    class_of_size = F.floor(F.log2(F.col("__size") + 1) * 16)
-    placed = numbered(sized, [source_col], list(order), "__row", buckets=16, first=class_of_size)
-    place = lambda n: F.floor(n * F.col("__rate") + F.col("__start"))
-    copies = F.least(place(F.col("__row") + 1) - place(F.col("__row")), F.ceil("__rate"))
-    drawn = placed.join(F.broadcast(plan), F.col(source_col).eqNullSafe(F.col("__source")))
-    mixed = F.struct(
-        F.col("__size").alias("size"), F.col("__total").alias("source_size"), F.col("__target").alias("target"),
-        copies.cast("int").alias("copies"),
-    )
-    return drawn.withColumn("mix", mixed).select(*[F.col(f"`{c}`") for c in docs.columns if c != "mix"], "mix")
+    plan = docs.sparkSession.createDataFrame(rows, "of string, total long, target double, rate double, start double")
+    class_of_size = F.floor(F.log2(F.col("size") + 1) * 16)
+    placed = numbered(sized, ["source"], [f"order{i}" for i in range(len(order))], "place", buckets=16, first=class_of_size)
+    boundary = lambda n: F.floor(n * F.col("rate") + F.col("start"))
+    copies = F.least(boundary(F.col("place") + 1) - boundary(F.col("place")), F.ceil("rate"))
+    drawn = placed.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("of")))
+    mixed = F.struct("size", F.col("total").alias("source_size"), "target", copies.cast("int").alias("copies"))
+    return drawn.select(*[of(c).alias(c) for c in docs.columns if c != "mix"], mixed.alias("mix"))
 
 
 def repeated(mixed: DataFrame) -> DataFrame:
     """Each row as often as the mix takes it, without the mix column."""
-    return mixed.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("mix.copies")))).drop("mix", "__copy")
+    copies = F.explode(F.array_repeat(F.lit(1), F.col("mix.copies"))).alias("mix")
+    return mixed.select(*[F.col(f"`{c}`") for c in mixed.columns if c != "mix"], copies).drop("mix")

@@ -195,3 +195,23 @@ def test_base_spans_of_spaced_digits(spark, tmp_path):
         assert [found[i][f"n_{k}"] for k in PATTERNS] == [len(kinds[k]) for k in PATTERNS]
         assert found[i].base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
     assert found[1].n_card == found[6].n_card == 1 and found[2].n_phone == 1
+
+
+def test_mix_takes_near_the_targets_and_keeps_all_columns(spark):
+    """Three sources of very unequal sizes, in columns whose names the operator might use itself."""
+    import random
+
+    rng = random.Random(6)
+    rows = [(i, "w " * rng.choice([1, 3, 20, 90, 400]), "abc"[min(i % 7, 2)], 1, 2, 3, 4, 5) for i in range(3000)]
+    names = ["doc_id", "text", "source", "__bucket", "__size", "__row", "row", "size"]
+    docs = spark.createDataFrame(rows, names)
+    mixed = mixing.mix(docs)
+    assert mixed.columns == [*names, "mix"]
+    taken, target = Counter(), {}
+    for r in mixed.collect():
+        taken[r["source"]] += r["mix"]["size"] * r["mix"]["copies"]
+        target[r["source"]] = r["mix"]["target"]
+        assert r["mix"]["copies"] in (0, 1, 2) and (r["__bucket"], r["__size"], r["__row"], r["row"], r["size"]) == (1, 2, 3, 4, 5)
+    assert all(abs(taken[s] - target[s]) < 0.02 * target[s] for s in target) and len(target) == 3
+    again = mixing.repeated(mixed)
+    assert again.columns == names and again.count() == sum(r["mix"]["copies"] for r in mixed.collect())
