@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from parcelpay.llm.common import let, words, written
 
-#: Similarity in percent, and the distinct words from which on a line takes part.
-PERCENT, LEAST_TOKENS = 80, 3
+#: Similarity in percent, and the distinct words from which on a line takes part: all but blank ones.
+PERCENT, LEAST_TOKENS = 80, 1
 #: Hash buckets of words that are counted to order words by rarity, and the bits of a word's hash beside its bucket.
 WORD_BUCKETS, REST_BITS = 1 << 16, 47
 #: Buckets of document ids: the bound of the table that thins documents out before their shuffle.
@@ -158,8 +158,8 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_i
     """doc_id and removed: the numbers (from 0, in order) of a document's lines that repeat an earlier line.
 
     Lines are split at \\n and in order of doc_id and number. A line is removed when an earlier line, removed or not, has
-    a set of words whose Jaccard similarity with its own is at least `percent`; so of equal lines the first stays. Lines
-    of fewer than LEAST_TOKENS distinct words, blank ones too, stay. Documents without removed lines, among them null and
+    a set of words whose Jaccard similarity with its own is at least `percent`; so of equal lines the first stays, short
+    ones too. Lines of fewer than LEAST_TOKENS distinct words, which are the blank ones, stay. Documents without removed lines, among them null and
     empty texts and null ids, have no row. Rows that share an id are taken for one text, whose rows should be equal.
     Words are told apart by 63 bits of their hashes.
     """
