@@ -33,13 +33,12 @@ def rarity(docs: DataFrame, text_col: str = "text") -> Column:
 def tokens(line: Column, ranks: Column) -> Column:
     """A line's distinct words in lower case as numbers, the rarest first: the rank of the bucket, then the rest of the hash."""
 
-    def number(word: Column) -> Column:
-        return let(
-            F.xxhash64(word),
-            lambda h: F.shiftleft(F.get(ranks, h.bitwiseAND(F.lit(WORD_BUCKETS - 1)).cast("int")), REST_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - REST_BITS)),
-        )
+    def number(h: Column) -> Column:
+        rank = F.get(ranks, h.bitwiseAND(F.lit(WORD_BUCKETS - 1)).cast("int"))
+        return F.shiftleft(rank, REST_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - REST_BITS))
 
-    return F.sort_array(F.array_distinct(F.transform(words(F.lower(line)), number)))
+    hashes = F.transform(words(F.lower(line)), lambda w: F.xxhash64(w))
+    return F.sort_array(F.array_distinct(F.transform(hashes, number)))
 
 
 def prefix_length(n: Column, percent: int) -> Column:
@@ -87,11 +86,13 @@ def candidate_pairs(lines: DataFrame, percent: int, all_of: DataFrame | None = N
     paired with every earlier set of the bucket. With `all_of` (a column `set`), those sets are paired with all earlier
     ones whatever the first one is like.
     """
-    entries = (
-        lines.select("set", "doc_id", "n", "parity", F.posexplode("keys").alias("position", "key"))
-        .groupBy("key", "set")
-        .agg(F.min("doc_id").alias("first"), F.min((F.shiftleft(F.col("n").cast("long"), POSITION_BITS) + F.col("position"))).alias("packed"), F.min("parity").alias("parity"))
-    )
+    # equal sets are one before their prefixes are laid out, and all that follows stays on the one exchange by word
+    sets = lines.groupBy("set", "n", "parity", "keys").agg(F.min("doc_id").alias("first"))
+    entries = sets.select("set", "n", "first", "parity", F.posexplode("keys").alias("position", "key"))
+    packed = (F.shiftleft(F.col("n").cast("long"), POSITION_BITS) + F.col("position")).alias("packed")
+    # nothing is null here; saying so, as the joins below ask for it, lets them all find the same exchange
+    known = " and ".join(f"{c} is not null" for c in ("key", "set", "first", "packed", "parity"))
+    entries = entries.select("key", "set", "first", packed, "parity").filter(known).repartition("key")
     order = Window.partitionBy("key").orderBy("first", "set")
     # each column apart: a running frame keeps no rows, and an aggregate of a struct would
     headed = entries.withColumns({f"hub_{c}": F.first(c).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) for c in ("set", "first", "packed", "parity")})
