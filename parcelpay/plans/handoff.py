@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from parcelpay.functions.times import parse_stamp
 from parcelpay.operators.cod import cod_key
@@ -25,8 +26,8 @@ def partition_by_month(facts: DataFrame, path: str) -> DataFrame:
     """The facts as files in one folder per month of delivery, read again."""
     month = F.coalesce(F.date_format(parse_stamp(F.col("zzdelivery_date")), "yyyy-MM"), F.lit(UNKNOWN))
     facts.withColumn(MONTH, month).write.mode("overwrite").partitionBy(MONTH).parquet(path)
-    ordered = facts.schema.add(MONTH, "string")
-    return facts.sparkSession.read.schema(ordered).parquet(path)
+    schema = StructType([*facts.schema.fields, StructField(MONTH, StringType())])
+    return facts.sparkSession.read.schema(schema).parquet(path)
 
 
 def arrived(remittances: DataFrame, since: datetime) -> Column:
