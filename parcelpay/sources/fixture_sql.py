@@ -23,6 +23,7 @@ class Dialect:
     add_hours: str  # {0} plus {1} hours
     add_days: str  # date {0} plus {1} days
     base36: str  # whole number {0} in base 36, upper case
+    dealt: str  # table {0}, its rows dealt over tasks by column {1}
     spark: bool
 
     def stamp_of(self, expr: str) -> str:
@@ -42,8 +43,8 @@ class Dialect:
         return f"CROSS JOIN (VALUES {', '.join(f'({r})' for r in rows)}) AS r({names})"
 
 
-SPARK = Dialect("date_format({0}, 'dd-MM-yyyy HH:mm:ss')", "timestampadd(HOUR, {1}, {0})", "date_add({0}, {1})", "conv(CAST({0} AS STRING), 10, 36)", True)
-DUCKDB = Dialect("strftime({0}, '%d-%m-%Y %H:%M:%S')", "({0} + to_hours({1}))", "({0} + CAST({1} AS INTEGER))", "to_base({0}, 36)", False)
+SPARK = Dialect("date_format({0}, 'dd-MM-yyyy HH:mm:ss')", "timestampadd(HOUR, {1}, {0})", "date_add({0}, {1})", "conv(CAST({0} AS STRING), 10, 36)", "(SELECT * FROM {0} DISTRIBUTE BY {1})", True)
+DUCKDB = Dialect("strftime({0}, '%d-%m-%Y %H:%M:%S')", "({0} + to_hours({1}))", "({0} + CAST({1} AS INTEGER))", "to_base({0}, 36)", "{0}", False)
 
 # Products of the priorities 1 to 5, in the spelling of the facts and of the masters.
 FACT_PRODUCTS = ("Premium", "EXPRESS", "Lite", "Cargo", "Unrated")
@@ -103,10 +104,11 @@ def code(letter: str, number: str) -> str:
 def table_sql(d: Dialect) -> dict[str, str]:
     """SELECT text of every derived table, in an order in which each uses the star tables and earlier ones only."""
     t: dict[str, str] = {}
-    t["line"] = """
+    # Dealt by order, the lines are moved once: the distinct lines and the join with the orders both find them in place.
+    t["line"] = f"""
         SELECT l_orderkey, l_linenumber, max(l_partkey) AS pk, max(l_suppkey) AS sk, max(l_quantity) AS qty,
                max(l_discount) AS disc, max(l_tax) AS tax, max(l_returnflag) AS rf, max(l_linestatus) AS ls
-        FROM lineitem GROUP BY l_orderkey, l_linenumber"""
+        FROM {d.dealt.format("lineitem", "l_orderkey")} GROUP BY l_orderkey, l_linenumber"""
     t["parcel"] = f"""
         SELECT x.*,
                {code('V', "CASE WHEN o % 4 = 0 THEN sk ELSE rider END")} AS centre_code,

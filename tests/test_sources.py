@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
 import duckdb
@@ -39,6 +40,15 @@ def test_every_customer_and_supplier_is_used(spark):
     assert "events" not in STAR_TABLES
 
 
+def test_lines_are_moved_once_to_become_parcels(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = star.derive(spark, SMALL, "parcel")._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(l_orderkey#\d+L, \d+\)", plan)) == 1
+    # the other one moves the orders; no lines are sorted or aggregated before theirs
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert "Aggregate" not in plan.split("Exchange hashpartitioning(l_orderkey")[1].split("Exchange")[0]
+
+
 def test_tables_are_written_only_to_a_shared_folder(spark, tmp_path):
     assert star.star_tables(spark, SMALL, "")["cluster_master"].inputFiles()[0].endswith("supplier.parquet")
     assert f"{tmp_path}/" in star.star_tables(spark, SMALL, f"{tmp_path}")["cluster_master"].inputFiles()[0]
