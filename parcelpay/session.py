@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings. Results depend on the time zone only; the rest steers physical planning.
@@ -15,11 +17,24 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# At most so much of a shuffle goes to one task where adaptive execution merges partitions. A distinct or a sort holds
+# about fifty times these compressed bytes in memory, whatever the size of the input.
+ADVISORY_KEY, ADVISORY_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes", 8 << 20
+_UNITS = {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+
+
+def byte_count(text: str) -> int:
+    """Bytes of a size as Spark writes it: 64MB, 8m, 67108864b."""
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", text.strip().lower()).groups()
+    return int(number) * _UNITS[unit]
+
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session that already exists and return it."""
+    """Apply the runtime settings to a session that already exists and return it. A smaller advisory size stays."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    if byte_count(spark.conf.get(ADVISORY_KEY)) > ADVISORY_BYTES:
+        spark.conf.set(ADVISORY_KEY, f"{ADVISORY_BYTES}b")
     return spark
 
 
