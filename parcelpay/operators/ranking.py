@@ -35,8 +35,11 @@ def rank_within(
     stretch between two cuts is ranked by itself, and the rows of the earlier stretches are added. Equal texts lie in one
     stretch, so the sum is the rank over the whole group. The number of stretches grows with the group.
 
-    All of this is one plan: building it runs no job. Where no group is large, the side that holds the cuts turns out
-    empty at run time, and adaptive execution drops what depends on it.
+    All of this is one plan: building it runs no job. Rows are dealt by stretch once, for the ranks and for the sizes of
+    the stretches, so that whatever `df` is the result of is computed once; the count reads a hash of every column, which
+    keeps the optimizer from narrowing its side of the exchange. `df` should thus have no column that the caller drops
+    again. Where no group is large, the side that holds the cuts turns out empty at run time, and adaptive execution drops
+    what depends on it.
 
     Rows come back partitioned by the column `part`, which callers may carry through a distinct to reuse it.
     """
@@ -45,16 +48,17 @@ def rank_within(
     side = F.broadcast(side.select(F.struct(*load_keys).alias("_group"), "_cuts"))
     marked = df.withColumn("_of", F.struct(*load_keys))
 
-    def packed(how: str) -> DataFrame:
-        # One struct as partition and join key: NULLs inside it compare equal, and the join needs no second exchange.
-        rows = marked.join(side, marked["_of"].eqNullSafe(side["_group"]), how)
-        stretch = F.when(F.col(order).isNull(), _LAST).otherwise(F.size(F.filter("_cuts", lambda c: c <= F.col(order))))
-        bucket = F.when(F.col("_cuts").isNotNull(), stretch).otherwise(F.lit(0))
-        others = [c for c in df.columns if c not in keys]
-        return rows.select(F.struct(*keys, bucket.alias("_bucket")).alias(part), *others)
+    # One struct as partition and join key: NULLs inside it compare equal, and the join needs no second exchange.
+    rows = marked.join(side, marked["_of"].eqNullSafe(side["_group"]), "left")
+    stretch = F.when(F.col(order).isNull(), _LAST).otherwise(F.size(F.filter("_cuts", lambda c: c <= F.col(order))))
+    bucket = F.when(F.col("_cuts").isNotNull(), stretch).otherwise(F.lit(0))
+    others = [c for c in df.columns if c not in keys]
+    dealt = rows.select(F.struct(*keys, bucket.alias("_bucket")).alias(part), *others).repartition(part)
 
-    ranked = packed("left").withColumn("_local", F.rank().over(Window.partitionBy(part).orderBy(in_order)))
-    sizes = packed("inner").groupBy(part).agg(F.count(F.lit(1)).alias("_rows"))
+    ranked = dealt.withColumn("_local", F.rank().over(Window.partitionBy(part).orderBy(in_order)))
+    split = dealt.join(side, F.struct(*[F.col(f"{part}.{k}").alias(k) for k in load_keys]).eqNullSafe(side["_group"]))
+    sizes = split.groupBy(part).agg(F.count(F.lit(1)).alias("_rows"), F.max(F.xxhash64(part, *others)).alias("_read"))
+    sizes = sizes.filter("_read is not null")
     earlier = Window.partitionBy(*[f"{part}.{k}" for k in keys]).orderBy(f"{part}._bucket")
     offsets = sizes.select(
         F.col(part).alias("_of"),

@@ -21,7 +21,7 @@ _DETAIL = [
 
 def _rated(rows: DataFrame, tables: ReportTables, **split) -> DataFrame:
     """Ranked and rated consignments. They stay partitioned by rider and day, or by `_part` when groups are split."""
-    rated = with_rider_rate(rider_rank(rows, tables, **split), tables)
+    rated = with_rider_rate(rider_rank(rows.drop("product"), tables, **split), tables)
     return rated.withColumns(
         {
             "pay_out_month": month_label(F.col("delivery_date")),
