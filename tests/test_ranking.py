@@ -66,6 +66,15 @@ def test_nothing_large_leaves_a_plain_window(spark):
     assert "isFinalPlan=true" in final and "Join" not in final and "Window" in final
 
 
+def test_rows_are_dealt_once_for_ranks_and_sizes(spark):
+    """Both exchanges by stretch have the same columns, so the second one is the first one."""
+    df = spark.createDataFrame(skewed(300), DDL).distinct()
+    out = rank_within(df, ["a", "b"], "con", load=df, load_keys=["a", "b"], rows_per_task=20)
+    lines = out._jdf.queryExecution().executedPlan().toString().splitlines()
+    below = [lines[i + 1] for i, line in enumerate(lines) if "Exchange hashpartitioning(_part#" in line]
+    assert len(below) == 2 and all("Project [struct(" in line and "con#" in line and "other#" in line for line in below)
+
+
 def test_building_the_rank_runs_no_job(spark):
     df = spark.createDataFrame(skewed(300), DDL)
     spark.sparkContext.setJobGroup("building", "building")
