@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelpay.llm.common import let, words, written
+from parcelpay.llm.common import words, written
 
 #: Similarity in percent, and the distinct words from which on a line takes part: all but blank ones.
 PERCENT, LEAST_TOKENS = 80, 1
@@ -14,6 +14,8 @@ WORD_BUCKETS, REST_BITS = 1 << 16, 47
 #: Buckets of document ids: the bound of the table that thins documents out before their shuffle.
 ID_BUCKETS = 1 << 18
 POSITION_BITS = 24
+#: Bits of a word's number that its key in a prefix goes without; what is left fits an int and keeps the order by rarity.
+KEY_SHIFT = 32
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -34,7 +36,8 @@ def tokens(line: Column, ranks: Column) -> Column:
     """A line's distinct words in lower case as numbers, the rarest first: the rank of the bucket, then the rest of the hash."""
 
     def number(h: Column) -> Column:
-        rank = F.get(ranks, h.bitwiseAND(F.lit(WORD_BUCKETS - 1)).cast("int"))
+        # never null, and said to be so: arrays that may hold nulls are sorted as objects
+        rank = F.coalesce(F.get(ranks, h.bitwiseAND(F.lit(WORD_BUCKETS - 1)).cast("int")), F.lit(0).cast("long"))
         return F.shiftleft(rank, REST_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - REST_BITS))
 
     hashes = F.transform(words(F.lower(line)), lambda w: F.xxhash64(w))
@@ -52,19 +55,32 @@ def apart(n: Column, m: Column, percent: int) -> Column:
 
 
 def described(docs: DataFrame, ranks: Column, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, line, set (a hash of the line's set), n, keys (hashes of the prefix) and parity (of words by 64 places)."""
+    """doc_id, line, set (a hash of the line's set), n, keys (of the prefix, ascending) and parity (of words by 64 places)."""
+    # blank lines go by their text: a condition on what is computed of the words would compute it once more
+    rows = lines_of(docs, id_col, text_col).filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    t, n = F.col("t"), F.size("t")
+    places = F.aggregate(t, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))))
+    prefix = F.slice(t, F.lit(1), prefix_length(n, percent).cast("int"))
+    keys = F.transform(prefix, lambda x: F.shiftright(x, KEY_SHIFT).cast("int"))
+    return rows.select("doc_id", "line", tokens(F.col("text"), ranks).alias("t")).select(
+        "doc_id", "line", F.xxhash64("t").alias("set"), n.alias("n"), keys.alias("keys"), places.alias("parity")
+    )
+
+
+def first_lines(lines: DataFrame) -> DataFrame:
+    """set, n, keys, parity and first (doc_id and line of the set's first line): equal sets are one from here on."""
+    return lines.groupBy("set", "n", "keys", "parity").agg(F.min(F.struct("doc_id", "line")).alias("first"))
 
-    def of(t: Column) -> Column:
-        n = F.size(t)
-        places = F.aggregate(t, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))))
-        prefix = F.slice(t, F.lit(1), prefix_length(n, percent).cast("int"))
-        return F.when(
-            n >= LEAST_TOKENS,
-            F.struct(F.xxhash64(t).alias("set"), n.alias("n"), F.transform(prefix, lambda x: F.hash(x)).alias("keys"), places.alias("parity")),
-        )
 
-    rows = lines_of(docs, id_col, text_col)
-    return rows.select("doc_id", "line", let(tokens(F.col("text"), ranks), of).alias("d")).filter("d is not null").select("doc_id", "line", "d.*")
+def prefixes_apart(a: dict[str, Column], b: dict[str, Column]) -> Column:
+    """In so many words two sets differ at least, as their prefixes tell. a and b: n, keys.
+
+    Below the lesser of their last keys, the prefixes hold all words of both sets; keys stand for one word or more.
+    """
+    last = F.least(F.element_at(a["keys"], -1), F.element_at(b["keys"], -1))
+    low_a, low_b = (F.filter(side["keys"], lambda x: x < last) for side in (a, b))
+    rest = F.abs((a["n"] - F.size(low_a)) - (b["n"] - F.size(low_b)))
+    return F.size(F.array_except(low_a, b["keys"])) + F.size(F.array_except(low_b, a["keys"])) + rest
 
 
 def passes(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
@@ -78,7 +94,7 @@ def passes(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
     return length & overlap & (F.bit_count(a["parity"].bitwiseXOR(b["parity"])) <= apart(a["n"], b["n"], percent))
 
 
-def candidate_pairs(lines: DataFrame, percent: int, all_of: DataFrame | None = None) -> DataFrame:
+def candidate_pairs(firsts: DataFrame, percent: int, all_of: DataFrame | None = None) -> DataFrame:
     """Pairs (a, b) of sets that share a prefix word and pass the filters; hub says that b was the word's first set.
 
     In each word's bucket, sets are in order of their first document. A set that is very likely similar to the bucket's
@@ -86,9 +102,8 @@ def candidate_pairs(lines: DataFrame, percent: int, all_of: DataFrame | None = N
     paired with every earlier set of the bucket. With `all_of` (a column `set`), those sets are paired with all earlier
     ones whatever the first one is like.
     """
-    # equal sets are one before their prefixes are laid out, and all that follows stays on the one exchange by word
-    sets = lines.groupBy("set", "n", "parity", "keys").agg(F.min("doc_id").alias("first"))
-    entries = sets.select("set", "n", "first", "parity", F.posexplode("keys").alias("position", "key"))
+    # all that follows stays on the one exchange by word
+    entries = firsts.select("set", "n", F.col("first.doc_id").alias("first"), "parity", F.posexplode("keys").alias("position", "key"))
     packed = (F.shiftleft(F.col("n").cast("long"), POSITION_BITS) + F.col("position")).alias("packed")
     # nothing is null here; saying so, as the joins below ask for it, lets them all find the same exchange
     known = " and ".join(f"{c} is not null" for c in ("key", "set", "first", "packed", "parity"))
@@ -123,13 +138,15 @@ def thinned(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFram
 
 
 def verified(docs: DataFrame, pairs: DataFrame, firsts: DataFrame, ranks: Column, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """The pairs with whether they are similar, by the sets of their first lines.
+    """The pairs that their prefixes don't rule out, with whether they are similar, by the sets of their first lines.
 
     A set travels once for each pair that it is the later one in; the earlier one travels once and is held, while the
     rows of its pairs stream by.
     """
-    place = lambda side: firsts.select(F.col("set").alias(side), F.col("first").alias(f"{side}_first"))
-    wanted = pairs.join(place("a"), "a").join(place("b"), "b")
+    place = lambda side: firsts.select(F.col("set").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in ("first", "n", "keys")])
+    a, b = ({c: F.col(f"{side}_{c}") for c in ("n", "keys")} for side in ("a", "b"))
+    likely = prefixes_apart(a, b) <= apart(a["n"], b["n"], percent)
+    wanted = written(pairs.join(place("a"), "a").join(place("b"), "b").filter(likely).select("a", "b", "a_first", "b_first"), "line-likely")
     roles = wanted.select(F.col("a_first.*"), "a", "b", F.lit(1).alias("role")).unionByName(
         wanted.select(F.col("b_first.*"), F.col("b").alias("a"), "b", F.lit(0).alias("role")).distinct()
     )
@@ -165,19 +182,19 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_i
     Words are told apart by 63 bits of their hashes.
     """
     ranks = rarity(docs, text_col)
-    lines = written(described(docs, ranks, percent, id_col, text_col), "lines")
-    firsts = written(lines.groupBy("set").agg(F.min(F.struct("doc_id", "line")).alias("first")), "firsts")
-    pairs = written(candidate_pairs(lines, percent), "line-pairs")
+    lines = written(described(docs, ranks, percent, id_col, text_col), "lines").filter(F.col("n") >= LEAST_TOKENS)
+    firsts = written(first_lines(lines), "firsts")
+    pairs = written(candidate_pairs(firsts, percent), "line-pairs")
     found = written(verified(docs, pairs, firsts, ranks, percent, id_col, text_col), "line-matches")
     dead = written(later_sets(found, firsts), "line-dead")
     # sets that were held back from all but a hub in some bucket, and that nothing matched
     failed = written(pairs.filter("hub").select(F.col("a").alias("set")).distinct().join(dead, "set", "left_anti"), "line-failed")
     if not failed.isEmpty():
-        more = written(candidate_pairs(lines, percent, failed), "line-pairs")
+        more = written(candidate_pairs(firsts, percent, failed), "line-pairs")
         again = verified(docs, more, firsts, ranks, percent, id_col, text_col)
         dead = dead.unionByName(later_sets(again, firsts)).distinct()
     dead = dead.withColumn("dead", F.lit(True))
-    gone = lines.select("doc_id", "line", "set").join(firsts, "set").join(dead, "set", "left")
+    gone = lines.select("doc_id", "line", "set").join(firsts.select("set", "first"), "set").join(dead, "set", "left")
     gone = gone.filter(F.col("dead") | (F.struct("doc_id", "line") != F.col("first")))
     return gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed"))
 

@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from parcelpay.llm import line_dedup, ngram_join
 from parcelpay.llm.common import components
@@ -137,6 +138,32 @@ def test_a_member_that_its_hub_does_not_match_is_tried_with_the_rest(spark):
     assert got == odd.repeated(rows, line_dedup.PERCENT, line_dedup.LEAST_TOKENS) and len(got) == 17
 
 
+def test_words_of_a_line_are_worked_out_once(documents):
+    """A condition on the words, pushed below them, had all lines cut into words a second time."""
+    plan = line_dedup.described(documents, line_dedup.rarity(documents), 80, "doc_id", "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_distinct(") == 1
+
+
+def test_prefixes_rule_out_unlike_lines_alone(spark):
+    """Lines that share their rarest word alone are not moved to be compared, and no similar pair is ruled out."""
+    r = random.Random(5)
+    rows = []
+    for size in (4, 9, 25, 80, 200, 200, 200):
+        base = [f"rare{len(rows)}x{i}" for i in range(size)]
+        rows += [(len(rows) + k, " ".join(sorted(w for w in base if r.random() > lost) + [f"own{len(rows)}x{k}"] * (k % 2))) for k, lost in enumerate((0, 0.02, 0.08, 0.15, 0.3))]
+    common = [f"common{i}" for i in range(900)]
+    rows += [(1000 + i, " ".join(["shared", *r.sample(common, 150)])) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ranks = line_dedup.rarity(docs)
+    firsts = line_dedup.first_lines(line_dedup.described(docs, ranks, 80, "doc_id", "text"))
+    every = firsts.select(F.col("set").alias("a")).join(firsts.select(F.col("set").alias("b")), F.col("a") < F.col("b"))
+    kept = line_dedup.verified(docs, every, firsts, ranks, 80, "doc_id", "text").collect()
+    sets = [frozenset(t.split(" ")) for _, t in rows]
+    alike = {frozenset((x, y)) for x in sets for y in sets if x != y and 100 * len(x & y) >= 80 * len(x | y)}
+    assert len(alike) > 10 and sum(k.similar for k in kept) == len(alike)
+    assert len(kept) < every.count() / 4
+
+
 def test_repeated_lines_of_nothing(strange):
     assert line_dedup.repeated_lines(strange.limit(0)).collect() == []
 
