@@ -61,7 +61,7 @@ def grouped(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col:
     rows = written(hashed.select("doc_id", F.size("set").cast("long").alias("n"), "k"), "sizes")
     classes = written(rows.filter("n > 0").groupBy("k", "n").agg(F.min("doc_id").alias("rep")), "classes")
 
-    bands = banded(rows.filter("n > 0"), percent)
+    bands = banded(rows.filter("n > 0"), percent, shingle)
     entries = hashed.select("k", "set").mapInArrow(lambda batches: indexed(batches, bands), "signature long, id long")
     by_signature = entries.repartition("signature").sortWithinPartitions("signature", "id")
     shared = by_signature.mapInArrow(buckets, "signature long, id long")
@@ -95,15 +95,15 @@ def grouped(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col:
     return rows, labels, firsts.select(F.col("first.rep").alias("doc_id"), F.col("first.k").alias("k"))
 
 
-def banded(sized: DataFrame, percent: int):
+def banded(sized: DataFrame, percent: int, shingle: int):
     """Size bands and schemes, planned from the number of documents in each band; bands grow with the logarithm of sizes."""
-    from parcelpay.llm.signatures import Bands
+    from parcelpay.llm.signatures import Bands, agreement
 
     largest = sized.agg(F.max("n")).first()[0] or 1
     bands = Bands(largest, percent)
     edges = F.array(*[F.lit(int(e)) for e in bands.edges])
     band = F.size(F.filter(edges, lambda e: e <= F.col("n"))) - 1
-    return bands.plan({r["b"]: r["d"] for r in sized.groupBy(band.alias("b")).agg(F.count(F.lit(1)).alias("d")).collect()})
+    return bands.plan({r["b"]: r["d"] for r in sized.groupBy(band.alias("b")).agg(F.count(F.lit(1)).alias("d")).collect()}, agreement(shingle))
 
 
 def indexed(batches: Iterator, bands) -> Iterator:

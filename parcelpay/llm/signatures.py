@@ -18,7 +18,8 @@ from math import ceil, exp, inf, sqrt
 import numpy as np
 
 RATIO = 1.3
-#: The chance that two unrelated sets agree on one element's place, and the cost of a candidate in index entries.
+#: The chance that two unrelated sets of three-word shingles agree on one element's place, and the cost of a candidate in
+#: index entries. Both weigh schemes only: every scheme brings all linked pairs together.
 AGREE, CANDIDATE_COST = 0.1, 50
 #: How many trivial segments make a signature.
 TOGETHER = 3
@@ -38,7 +39,12 @@ class Scheme:
     subset: int
 
 
-def allocate(low: int, high: int, docs: int, percent: int) -> Scheme:
+def agreement(shingle: int) -> float:
+    """The chance for shingles of so many words: each word after the first has to agree too."""
+    return AGREE ** ((shingle - 1) / 2)
+
+
+def allocate(low: int, high: int, docs: int, percent: int, agree: float = AGREE) -> Scheme:
     """The cheapest split of tolerances for sets of `low` to `high` elements, `docs` of them: index entries plus candidates."""
     h = allowed(high, high, percent)
     if h == 0:
@@ -57,7 +63,7 @@ def allocate(low: int, high: int, docs: int, percent: int) -> Scheme:
         m = units - loose
         mean = (low + high) / 2 / m
         entries = (m - loose) + loose * (1 + mean)
-        chance = docs * AGREE ** (low / m)
+        chance = docs * agree ** (low / m)
         cost = docs * entries * (1 + CANDIDATE_COST * chance)
         if cost < least:
             best, least = Scheme(m, loose, (spare + 1 + 1) // 2 if loose else spare + 1), cost
@@ -75,9 +81,9 @@ class Bands:
         self.edges = np.array(edges, dtype=np.int64)
         self.schemes: list[Scheme] = []
 
-    def plan(self, docs_by_band: dict[int, int]) -> "Bands":
+    def plan(self, docs_by_band: dict[int, int], agree: float = AGREE) -> "Bands":
         e = self.edges.tolist()
-        self.schemes = [allocate(a, b - 1, docs_by_band.get(i, 0) + 1, self.percent) for i, (a, b) in enumerate(zip(e, e[1:]))]
+        self.schemes = [allocate(a, b - 1, docs_by_band.get(i, 0) + 1, self.percent, agree) for i, (a, b) in enumerate(zip(e, e[1:]))]
         return self
 
     def of(self, sizes: np.ndarray) -> np.ndarray:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from parcelpay.llm import line_dedup, ngram_join
 from parcelpay.llm.common import components
-from parcelpay.llm.signatures import Bands, Scheme, allocate, likely, signatures, sketch
+from parcelpay.llm.signatures import Bands, Scheme, agreement, allocate, likely, signatures, sketch
 from tests.conftest import SMALL
 from tests.llm import odd
 
@@ -89,6 +89,27 @@ def test_every_similar_pair_shares_a_signature(percent, loose):
     assert pairs > 40
 
 
+def test_sets_of_long_shingles_have_fewer_signatures_than_elements():
+    """Long shingles hardly agree by chance, so their segments can be small; similar pairs still share a signature."""
+    r = random.Random(11)
+    bands = Bands(3000, 80).plan(dict.fromkeys(range(40), 3000), agreement(5))
+    pairs = 0
+    for size in (60, 110, 240, 520, 1300, 2900):
+        base = [r.getrandbits(63) for _ in range(size)]
+        sets = [set(base), *[edited(base, e, size + e) for e in (1, size // 20, size // 12, size // 9)], set(base[: size - size // 6])]
+        values = [np.array(sorted(s), dtype=np.uint64) for s in sets]
+        found, owner = signatures(np.concatenate(values), np.array([len(v) for v in values]), bands)
+        of = [set(found[owner == i].tolist()) for i in range(len(sets))]
+        assert len(found) < sum(len(s) for s in sets)
+        for i in range(len(sets)):
+            for j in range(i):
+                both = len(sets[i] & sets[j])
+                if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                    pairs += 1
+                    assert of[i] & of[j], (size, i, j)
+    assert pairs > 30
+
+
 def test_sketches_never_rule_out_a_similar_pair():
     r = random.Random(3)
     sets = [set(base) | set() for base in ([r.getrandbits(63) for _ in range(n)] for n in (20, 90, 400))]
