@@ -43,11 +43,34 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Spark's setting to drop an execution's shuffle files when it ends; without it they stay until the driver collects garbage.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(rows: DataFrame, name: str) -> DataFrame:
-    """The rows, written as a table to the shared folder and read again: cuts lineage and outlives lost executors."""
-    path = shared_folder(rows.sparkSession, name)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    """The rows, written as a table to the shared folder and read again: cuts lineage and outlives lost executors.
+
+    Nothing reads the shuffle files of the write once it is done, so they go with it.
+    """
+    spark = rows.sparkSession
+    path = shared_folder(spark, name)
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        rows.write.parquet(path)
+    finally:
+        spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
+    table = spark.read.schema(rows.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete the files of tables from `written` that nothing reads any more; frames made from them can't run afterwards."""
+    for table in tables:
+        jvm, conf = table.sparkSession._jvm, table.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(table.written_to)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def numbered(
@@ -89,13 +112,16 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(),
         f"{name}-edges",
     )
-    labels = written(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("component")), f"{name}-labels")
+    last = written(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("component")), f"{name}-labels")
+    labels = last
     while True:
         near = both.join(labels.select(F.col("id").alias("b"), F.col("component").alias("c")), "b").groupBy("a").agg(F.min("c").alias("c"))
         hooked = labels.join(near.withColumnRenamed("a", "id"), "id").select("id", F.col("component").alias("was"), F.least("component", "c").alias("component"))
         # an id's label also takes over what its label's own row has found
         lead = hooked.select(F.col("id").alias("component"), F.col("component").alias("further"))
         fresh = written(hooked.join(lead, "component", "left").select("id", "was", F.coalesce("further", "component").alias("component")), f"{name}-labels")
-        labels = fresh.select("id", "component")
+        forget(last)
+        last, labels = fresh, fresh.select("id", "component")
         if fresh.filter("was <> component").isEmpty():
+            forget(both)
             return labels

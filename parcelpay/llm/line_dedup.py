@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelpay.llm.common import words, written
+from parcelpay.llm.common import forget, words, written
 
 #: Similarity in percent, and the distinct words from which on a line takes part: all but blank ones.
 PERCENT, LEAST_TOKENS = 80, 1
@@ -137,16 +137,21 @@ def thinned(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFram
     return docs.join(some, bucket(id_col) == F.col("__bucket"), "left_semi")
 
 
+def ruled_in(pairs: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
+    """The pairs that their prefixes don't rule out, with the first lines of both."""
+    place = lambda side: firsts.select(F.col("set").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in ("first", "n", "keys")])
+    a, b = ({c: F.col(f"{side}_{c}") for c in ("n", "keys")} for side in ("a", "b"))
+    likely = prefixes_apart(a, b) <= apart(a["n"], b["n"], percent)
+    return pairs.join(place("a"), "a").join(place("b"), "b").filter(likely).select("a", "b", "a_first", "b_first")
+
+
 def verified(docs: DataFrame, pairs: DataFrame, firsts: DataFrame, ranks: Column, percent: int, id_col: str, text_col: str) -> DataFrame:
     """The pairs that their prefixes don't rule out, with whether they are similar, by the sets of their first lines.
 
     A set travels once for each pair that it is the later one in; the earlier one travels once and is held, while the
     rows of its pairs stream by.
     """
-    place = lambda side: firsts.select(F.col("set").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in ("first", "n", "keys")])
-    a, b = ({c: F.col(f"{side}_{c}") for c in ("n", "keys")} for side in ("a", "b"))
-    likely = prefixes_apart(a, b) <= apart(a["n"], b["n"], percent)
-    wanted = written(pairs.join(place("a"), "a").join(place("b"), "b").filter(likely).select("a", "b", "a_first", "b_first"), "line-likely")
+    wanted = written(ruled_in(pairs, firsts, percent), "line-likely")
     roles = wanted.select(F.col("a_first.*"), "a", "b", F.lit(1).alias("role")).unionByName(
         wanted.select(F.col("b_first.*"), F.col("b").alias("a"), "b", F.lit(0).alias("role")).distinct()
     )
@@ -159,10 +164,13 @@ def verified(docs: DataFrame, pairs: DataFrame, firsts: DataFrame, ranks: Column
     )
     held = Window.partitionBy("b").orderBy("role").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     both = F.size(F.array_intersect("t", "hub"))
-    return (
+    found = written(
         sets.withColumn("hub", F.first("t").over(held)).filter("role = 1")
-        .select("a", "b", (100 * both >= percent * (F.size("t") + F.size("hub") - both)).alias("similar"))
+        .select("a", "b", (100 * both >= percent * (F.size("t") + F.size("hub") - both)).alias("similar")),
+        "line-matches",
     )
+    forget(wanted)
+    return found
 
 
 def later_sets(found: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -182,21 +190,26 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_i
     Words are told apart by 63 bits of their hashes.
     """
     ranks = rarity(docs, text_col)
-    lines = written(described(docs, ranks, percent, id_col, text_col), "lines").filter(F.col("n") >= LEAST_TOKENS)
+    table = written(described(docs, ranks, percent, id_col, text_col), "lines")
+    lines = table.filter(F.col("n") >= LEAST_TOKENS)
     firsts = written(first_lines(lines), "firsts")
     pairs = written(candidate_pairs(firsts, percent), "line-pairs")
-    found = written(verified(docs, pairs, firsts, ranks, percent, id_col, text_col), "line-matches")
+    found = verified(docs, pairs, firsts, ranks, percent, id_col, text_col)
     dead = written(later_sets(found, firsts), "line-dead")
     # sets that were held back from all but a hub in some bucket, and that nothing matched
     failed = written(pairs.filter("hub").select(F.col("a").alias("set")).distinct().join(dead, "set", "left_anti"), "line-failed")
+    forget(pairs, found)
     if not failed.isEmpty():
         more = written(candidate_pairs(firsts, percent, failed), "line-pairs")
         again = verified(docs, more, firsts, ranks, percent, id_col, text_col)
-        dead = dead.unionByName(later_sets(again, firsts)).distinct()
-    dead = dead.withColumn("dead", F.lit(True))
-    gone = lines.select("doc_id", "line", "set").join(firsts.select("set", "first"), "set").join(dead, "set", "left")
+        forget(more)
+        dead = written(dead.unionByName(later_sets(again, firsts)).distinct(), "line-dead")
+        forget(again)
+    gone = lines.select("doc_id", "line", "set").join(firsts.select("set", "first"), "set").join(dead.withColumn("dead", F.lit(True)), "set", "left")
     gone = gone.filter(F.col("dead") | (F.struct("doc_id", "line") != F.col("first")))
-    return gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed"))
+    removed = written(gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed")), "line-removed")
+    forget(table, firsts, dead, failed)
+    return removed
 
 
 def without_repeats(docs: DataFrame, removed: DataFrame, text_col: str = "text") -> DataFrame:

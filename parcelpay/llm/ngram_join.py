@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelpay.llm.common import components, let, lower_ascii, words, written
+from parcelpay.llm.common import components, forget, let, lower_ascii, words, written
 
 SHINGLE = 5
 PERCENT = 80
@@ -15,6 +15,9 @@ PERCENT = 80
 BLOCK = 4096
 #: Buckets of document ids: the bound of the table that thins documents out before their shuffle.
 ID_BUCKETS = 1 << 18
+#: Parts of the signature space, so many at least, and the signatures that make another part worth while. A part is dealt
+#: to one task, which sorts it on disk if need be; the fewer parts, the more signatures of a set travel in one row.
+LEAST_PARTS, PART_SIZE = 64, 1 << 25
 
 
 def shingle_set(text: Column, k: int) -> Column:
@@ -52,29 +55,35 @@ def grouped(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col:
     """`rows` (doc_id, n, k), `labels` (k, component_id) and `chosen` (doc_id, k), one set for each component.
 
     Equal sets are one class, named by the hash `k`, throughout: copies and their ids play no part before the end.
-    Signatures (`signatures`) bring together candidates, of which a bucket's members are first verified against the set
-    of its smallest id. Only pairs that this leaves in different components are compared further, in blocks, by sizes and
-    parity sketches, which never rule out a link, and then verified by their sets.
+    Signatures (`signatures`) bring together candidates, of which a bucket's members are first compared with the set of
+    its smallest id. Only pairs that this leaves in different components are compared further, in blocks. All pairs are
+    compared by sizes and parity sketches first, which never rule out a link; only the sets of the others are moved, to
+    be verified.
     """
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     hashed = source.select("doc_id", shingle_set(F.col("text"), shingle).alias("set")).withColumn("k", F.xxhash64("set"))
     rows = written(hashed.select("doc_id", F.size("set").cast("long").alias("n"), "k"), "sizes")
     classes = written(rows.filter("n > 0").groupBy("k", "n").agg(F.min("doc_id").alias("rep")), "classes")
 
-    bands = banded(rows.filter("n > 0"), percent, shingle)
-    entries = hashed.select("k", "set").mapInArrow(lambda batches: indexed(batches, bands), "signature long, id long")
-    by_signature = entries.repartition("signature").sortWithinPartitions("signature", "id")
-    shared = by_signature.mapInArrow(buckets, "signature long, id long")
-    # copies of a set that other tasks have indexed become one member here
+    bands, expected = banded(rows.filter("n > 0"), percent, shingle)
+    parts = parts_of(expected)
+    entries = hashed.select("k", "set").mapInArrow(lambda batches: indexed(batches, bands, parts), "part int, id long, rests array<int>")
+    # a set's signatures of one part travel together; what tells them apart within the part is 32 bits
+    signature = F.shiftleft(F.col("part").cast("long"), 32).bitwiseOR(F.col("rest").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
+    single = entries.repartition("part").select("part", "id", F.explode("rests").alias("rest")).select(signature.alias("signature"), "id")
+    shared = single.sortWithinPartitions("signature", "id").mapInArrow(buckets, "signature long, id long")
     order = classes.select(F.col("k").alias("id"), F.col("rep").isNull().alias("none"), "rep")
-    members = written(shared.distinct().join(order, "id"), "members")
+    members = written(shared.join(order, "id"), "members")
 
     # the first document of a bucket is most often the one that its near copies were made from
     hubs = members.groupBy("signature").agg(F.min(F.struct("none", "rep", "id")).alias("first")).select("signature", F.col("first.id").alias("b"))
-    members = members.select("signature", "id")
+    members_table, members = members, members.select("signature", "id")
     stars = written(members.join(hubs, "signature").filter("id <> b").select(F.col("id").alias("a"), "b").distinct(), "stars")
-    sets = written(sets_of(source, classes.join(members.select(F.col("id").alias("k")).distinct(), "k", "left_semi"), shingle, percent), "sets")
-    star_links = written(verified(stars, sets, percent), "star-links")
+    sketches = written(sketches_of(source, classes.join(members.select(F.col("id").alias("k")).distinct(), "k", "left_semi"), shingle, percent), "sketches")
+    close = written(not_ruled_out(stars, sketches, percent), "star-pairs")
+    sets = written(sets_of(source, classes, close, shingle), "sets")
+    star_links = written(verified(close, sets, percent), "star-links")
+    forget(close, sets)
     found = components(star_links, "stars")
 
     placed = members.join(found, "id", "left").select("signature", "id", F.coalesce("component", "id").alias("component"))
@@ -82,12 +91,16 @@ def grouped(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col:
         placed.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("rows"))
         .filter("low <> high").select("signature", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
     )
-    rest = placed.join(open_buckets, "signature").join(sets.select("id", "n", "sketch"), "id")
+    rest = placed.join(open_buckets, "signature").join(sketches, "id")
     pairs = written(candidates(rest, percent).join(stars, ["a", "b"], "left_anti"), "pairs")
+    forget(members_table, stars, sketches)
+    sets = written(sets_of(source, classes, pairs, shingle), "sets")
     links = star_links.unionByName(verified(pairs, sets, percent))
     whole = components(links, "links").withColumnRenamed("id", "k")
+    forget(pairs, sets, star_links)
     placed = classes.join(whole, "k", "left").select("k", "rep", F.coalesce("component", "k").alias("component"))
     placed = written(placed, "class-components")
+    forget(classes)
     # the smallest id, and of sets without any id, the one of the smallest name
     first = F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "k")).alias("first")
     firsts = written(placed.groupBy("component").agg(first), "component-firsts")
@@ -96,23 +109,39 @@ def grouped(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col:
 
 
 def banded(sized: DataFrame, percent: int, shingle: int):
-    """Size bands and schemes, planned from the number of documents in each band; bands grow with the logarithm of sizes."""
+    """Size bands and schemes, planned from the number of documents in each band, and the signatures to expect; bands grow
+    with the logarithm of sizes."""
     from parcelpay.llm.signatures import Bands, agreement
 
     largest = sized.agg(F.max("n")).first()[0] or 1
     bands = Bands(largest, percent)
     edges = F.array(*[F.lit(int(e)) for e in bands.edges])
     band = F.size(F.filter(edges, lambda e: e <= F.col("n"))) - 1
-    return bands.plan({r["b"]: r["d"] for r in sized.groupBy(band.alias("b")).agg(F.count(F.lit(1)).alias("d")).collect()}, agreement(shingle))
+    docs = {r["b"]: r["d"] for r in sized.groupBy(band.alias("b")).agg(F.count(F.lit(1)).alias("d")).collect()}
+    bands.plan(docs, agreement(shingle))
+    return bands, bands.expected(docs)
 
 
-def indexed(batches: Iterator, bands) -> Iterator:
-    """(signature, id) of every set, whose id comes with it; a set that the same task has met before is not indexed again."""
+def parts_of(signatures: float) -> int:
+    """Parts of the signature space, a power of two."""
+    parts = LEAST_PARTS
+    while parts < signatures / PART_SIZE:
+        parts *= 2
+    return parts
+
+
+def indexed(batches: Iterator, bands, parts: int) -> Iterator:
+    """(part, id, rests) of every set, whose id comes with it: its signatures by part, 32 bits of each.
+
+    A set that the same task has met before is not indexed again. Signatures only name candidates, so two that agree in
+    part and rest by chance cost a comparison and no result.
+    """
     import numpy as np
     import pyarrow as pa
 
     from parcelpay.llm.signatures import signatures
 
+    shift = np.uint64(64 - (parts.bit_length() - 1))
     seen: set[int] = set()
     for batch in batches:
         ids, sets = batch.column(0), batch.column(1)
@@ -132,25 +161,34 @@ def indexed(batches: Iterator, bands) -> Iterator:
                 elif len(seen) < 1_000_000:
                     seen.add(key)
             found, owner = signatures(values[np.repeat(fresh, sizes)], sizes[fresh], bands)
-            rows = np.flatnonzero(fresh)[owner] + a
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), ids.take(pa.array(rows))], names=["signature", "id"])
+            group = owner * parts + (found >> shift).astype(np.int64)
+            place = np.argsort(group, kind="stable")
+            group, rests = group[place], found[place].astype(np.uint32).view(np.int32)
+            starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))[: len(group)]
+            rows = np.flatnonzero(fresh)[group[starts] // parts] + a
+            lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(group)).astype(np.int32)), pa.array(rests))
+            part = pa.array((group[starts] % parts).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([part, ids.take(pa.array(rows)), lists], names=["part", "id", "rests"])
             a = b
 
 
 def buckets(batches: Iterator) -> Iterator:
-    """Of rows sorted by signature, those whose signature has more than one.
+    """Of rows sorted by signature and id, one for each pair of these, where the signature has more than one id.
 
-    A row is held back until the next one shows whether its signature goes on, so one row is remembered.
+    The last pair is held back until the next row shows whether its signature goes on, so one row is remembered.
     """
     import numpy as np
     import pyarrow as pa
 
-    held, open_ = None, False  # the last row so far, and whether the row before it has its signature
+    held, open_ = None, False  # the last pair so far, and whether the pair before it has its signature
     for batch in batches:
         rows = pa.Table.from_batches([batch] if held is None else [held, batch])
         if not rows.num_rows:
             continue
-        sig = rows.column(0).to_numpy()
+        sig, ids = rows.column(0).to_numpy(), rows.column(1).to_numpy()
+        # copies of a set that other tasks have indexed are one member
+        once = np.concatenate(([True], (sig[1:] != sig[:-1]) | (ids[1:] != ids[:-1])))
+        rows, sig = rows.filter(pa.array(once)), sig[once]
         same = sig[1:] == sig[:-1]
         keep = np.concatenate(([open_], same)) | np.concatenate((same, [False]))
         yield from rows.slice(0, len(sig) - 1).filter(pa.array(keep[:-1])).to_batches()
@@ -159,18 +197,21 @@ def buckets(batches: Iterator) -> Iterator:
         yield held
 
 
-def sets_of(source: DataFrame, wanted: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """id, n, set and sketch of the wanted classes (k, rep).
+def thinned(source: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Documents whose id falls into a bucket with one of the wanted classes' (k, rep): a table of at most ID_BUCKETS rows."""
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(ID_BUCKETS))
+    return source.join(F.broadcast(wanted.select(bucket("rep").alias("bucket")).distinct()), bucket("doc_id") == F.col("bucket"), "left_semi")
+
+
+def sketches_of(source: DataFrame, wanted: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """id, n and sketch of the wanted classes (k, rep).
 
-    Documents are thinned out before their shuffle by buckets of wanted ids, a table of at most ID_BUCKETS rows; the join
-    by the hash of the set then is exact.
+    Neither texts nor sets are moved: sketches are made where the documents are read, and the join by the hash of the set
+    then is exact.
     """
-    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(ID_BUCKETS))
-    some = source.join(F.broadcast(wanted.select(bucket("rep").alias("bucket")).distinct()), bucket("doc_id") == F.col("bucket"), "left_semi")
     rows = (
-        some.join(wanted.select(F.struct("rep").alias("of")).distinct(), F.struct(F.col("doc_id").alias("rep")) == F.col("of"), "left_semi")
-        .select(shingle_set(F.col("text"), shingle).alias("set")).filter(F.size("set") > 0).select(F.xxhash64("set").alias("id"), "set")
-        .dropDuplicates(["id"]).join(wanted.select(F.col("k").alias("id")), "id", "left_semi")
+        thinned(source, wanted).select(shingle_set(F.col("text"), shingle).alias("set"))
+        .filter(F.size("set") > 0).select(F.xxhash64("set").alias("id"), "set")
     )
 
     def with_sketch(batches: Iterator) -> Iterator:
@@ -184,12 +225,41 @@ def sets_of(source: DataFrame, wanted: DataFrame, shingle: int, percent: int) ->
             offsets = sets.offsets.to_numpy()
             flat = sets.values.to_numpy(zero_copy_only=False).view(np.uint64)
             sketches = [sketch(flat[a:b], percent).tobytes() for a, b in zip(offsets, offsets[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.diff(offsets).astype(np.int64)), sets, pa.array(sketches, pa.binary())], names=["id", "n", "set", "sketch"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(offsets).astype(np.int64)), pa.array(sketches, pa.binary())], names=["id", "n", "sketch"])
 
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(with_sketch, f"id {kind}, n long, set array<long>, sketch binary")
+    found = rows.mapInArrow(with_sketch, "id long, n long, sketch binary")
+    return found.join(wanted.select(F.col("k").alias("id")), "id", "left_semi").dropDuplicates(["id"])
+
+
+def not_ruled_out(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches don't rule out."""
+    side = lambda s: sketches.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
+
+    def compared(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        from parcelpay.llm.signatures import near
+
+        for batch in batches:
+            sizes = [batch.column(f"n_{s}").to_numpy() for s in "ab"]
+            rows = [[np.frombuffer(x, dtype=np.uint64) for x in batch.column(f"sketch_{s}").to_pylist()] for s in "ab"]
+            yield batch.select(["a", "b"]).filter(pa.array(near(*sizes, *rows, percent), pa.bool_()))
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return both.mapInArrow(compared, "a long, b long")
+
+
+def sets_of(source: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
+    """id and set of the classes (k, rep) that occur in the pairs (a, b)."""
+    named = pairs.select(F.col("a").alias("k")).union(pairs.select(F.col("b").alias("k"))).distinct()
+    wanted = classes.join(named, "k", "left_semi")
+    return (
+        thinned(source, wanted)
+        .join(wanted.select(F.struct("rep").alias("of")).distinct(), F.struct(F.col("doc_id").alias("rep")) == F.col("of"), "left_semi")
+        .select(shingle_set(F.col("text"), shingle).alias("set")).filter(F.size("set") > 0).select(F.xxhash64("set").alias("id"), "set")
+        .dropDuplicates(["id"]).join(wanted.select(F.col("k").alias("id")), "id", "left_semi")
+    )
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

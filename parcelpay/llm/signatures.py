@@ -86,6 +86,15 @@ class Bands:
         self.schemes = [allocate(a, b - 1, docs_by_band.get(i, 0) + 1, self.percent, agree) for i, (a, b) in enumerate(zip(e, e[1:]))]
         return self
 
+    def expected(self, docs_by_band: dict[int, int]) -> float:
+        """About how many signatures the sets have, each in the scheme of its own band and in that of the next one."""
+        total = 0.0
+        for band, docs in docs_by_band.items():
+            for scheme in self.schemes[band : band + 2]:
+                mean = float(self.edges[band]) / max(1, scheme.segments)
+                total += docs * (scheme.segments + scheme.loose * mean)
+        return total
+
     def of(self, sizes: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.edges, sizes, side="right") - 1
 
@@ -166,6 +175,20 @@ def folded(words: np.ndarray, n: int) -> np.ndarray:
     return words
 
 
+def near(n_a: np.ndarray, n_b: np.ndarray, a: list[np.ndarray], b: list[np.ndarray], percent: int) -> np.ndarray:
+    """For each pair of sets of these sizes and sketches, whether it is not ruled out."""
+    ok = 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
+    limit = (100 - percent) * (n_a + n_b) // (100 + percent)
+    kinds: dict[tuple[int, int], list[int]] = {}
+    for i in np.flatnonzero(ok).tolist():
+        kinds.setdefault((len(a[i]), len(b[i])), []).append(i)
+    for (x, y), rows in kinds.items():
+        n = min(x, y)
+        apart = np.bitwise_count(folded(np.stack([a[i] for i in rows]), n) ^ folded(np.stack([b[i] for i in rows]), n)).sum(axis=1)
+        ok[rows] = apart <= limit[rows]
+    return ok
+
+
 def likely(sizes: np.ndarray, sketches: list[np.ndarray], group: np.ndarray, side: np.ndarray, percent: int):
     """Pairs (i, j) of different groups and of sides 0 and 1 (or of any side, where all rows are of side 0) that sizes and
     sketches don't rule out."""
