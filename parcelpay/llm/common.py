@@ -9,6 +9,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from parcelpay.session import shuffles_freed
+
 #: The characters between words: space and U+0009 to U+000D.
 SPACES = " \t\n\x0b\f\r"
 
@@ -43,10 +45,6 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-#: Spark's setting to drop an execution's shuffle files when it ends; without it they stay until the driver collects garbage.
-FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
 def written(rows: DataFrame, name: str) -> DataFrame:
     """The rows, written as a table to the shared folder and read again: cuts lineage and outlives lost executors.
 
@@ -54,12 +52,8 @@ def written(rows: DataFrame, name: str) -> DataFrame:
     """
     spark = rows.sparkSession
     path = shared_folder(spark, name)
-    before = spark.conf.get(FREE_SHUFFLES, None)
-    spark.conf.set(FREE_SHUFFLES, "true")
-    try:
+    with shuffles_freed(spark):
         rows.write.parquet(path)
-    finally:
-        spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
     table = spark.read.schema(rows.schema).parquet(path)
     table.written_to = path
     return table

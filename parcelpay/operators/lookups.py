@@ -6,10 +6,19 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampType
 
 # Largest table, in bytes as stored, that a report offers for broadcast. A session may set another value.
 BROADCAST_LIMIT_KEY = "spark.parcelpay.broadcastLimitBytes"
 BROADCAST_LIMIT = 32 * 1024 * 1024
+# Largest table, in bytes of its rows in memory, that is offered. Repeated values take no room in a file, but all of it in
+# the hash table that the driver builds, and a report has up to eight of them at a time. A session may set another value.
+BROADCAST_ROWS_KEY = "spark.parcelpay.broadcastLimitRowBytes"
+BROADCAST_ROWS = 64 * 1024 * 1024
+# A file of less than this part of the limit is taken for a small table without counting its rows.
+UNCOUNTED = 1024
+# What a row of a hash table holds besides 8 bytes a column (its key and place), and an average text or array.
+ROW_BYTES, TEXT_BYTES = 64, 24
 # "true" joins bands through a search index: worth its second join where keys have hundreds of bands.
 BAND_INDEX_KEY = "spark.parcelpay.bandIndex"
 
@@ -23,23 +32,47 @@ def size_bound(df: DataFrame) -> int | None:
     return int(str(plan.stats().sizeInBytes()))
 
 
+def rows_bound(df: DataFrame, sized_by: DataFrame) -> int:
+    """Bytes that the rows of a frame with the columns of `df` and as many rows as `sized_by` take in memory, about."""
+    wide = [f for f in df.schema.fields if not isinstance(f.dataType, (NumericType, DateType, TimestampType, BooleanType))]
+    return sized_by.count() * (ROW_BYTES + 8 * len(df.schema.fields) + TEXT_BYTES * len(wide))
+
+
 def broadcast_within_limit(df: DataFrame, sized_by: DataFrame | None = None) -> DataFrame:
-    """Hint a broadcast only when the stated size is within the limit.
+    """Hint a broadcast only when the stated size and the rows in memory are within their limits.
 
     `sized_by` is the table whose rows bound `df`, for frames that already went through joins and whose own estimate
-    is a product of sizes. Above the limit the frame is returned as it is: the join keeps its equality keys, so Spark
-    plans a shuffled join and splits skewed partitions at run time.
+    is a product of sizes. Above the limit of files the frame is returned as it is: the join keeps its equality keys, so
+    Spark plans a shuffled join and splits skewed partitions at run time. Above the limit of rows it is told to, as Spark
+    goes by the stated size.
     """
-    return F.broadcast(df) if fits_broadcast(df if sized_by is None else sized_by) else df
+    if not stated_within_limit(df if sized_by is None else sized_by):
+        return df
+    return F.broadcast(df) if fits_broadcast(df, sized_by) else df.hint("merge")
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the stated size of a frame is within the session's limit."""
+def stated_within_limit(df: DataFrame) -> bool:
+    """Whether the stated size of a frame, that of its files, is within the session's limit."""
     limit = int(df.sparkSession.conf.get(BROADCAST_LIMIT_KEY, str(BROADCAST_LIMIT)))
     size = size_bound(df)
     return size is not None and size <= limit
 
 
+def fits_broadcast(df: DataFrame, sized_by: DataFrame | None = None) -> bool:
+    """Whether the stated size of a frame, and its rows in memory, are within the session's limits.
+
+    Only where the stated size is neither tiny nor too large, the rows are counted, by a small job: those of `sized_by`,
+    and if these are too many, those that `df` really has.
+    """
+    own, sized_by = sized_by is None, df if sized_by is None else sized_by
+    if not stated_within_limit(sized_by):
+        return False
+    most = int(df.sparkSession.conf.get(BROADCAST_ROWS_KEY, str(BROADCAST_ROWS)))
+    if size_bound(sized_by) <= most // UNCOUNTED or rows_bound(df, sized_by) <= most:
+        return True
+    return not own and rows_bound(df, df) <= most
+
+
 def band_join(
     facts: DataFrame,
     bands: DataFrame,

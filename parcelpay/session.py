@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -20,6 +22,8 @@ RUNTIME_SETTINGS = {
 # At most so much of a shuffle goes to one task where adaptive execution merges partitions. A distinct or a sort holds
 # about fifty times these compressed bytes in memory, whatever the size of the input.
 ADVISORY_KEY, ADVISORY_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes", 8 << 20
+#: Spark's setting to drop an execution's shuffle files when it ends; for tables that are written and then read from files.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _UNITS = {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
 
@@ -38,6 +42,17 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Inside, what an execution has shuffled goes with its end, and not when the driver happens to collect garbage."""
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
+
+
 def local_session(cores: str = "*", app: str = "parcelpay", shuffle_partitions: int = 8) -> SparkSession:
     """A session for tests and benchmarks on one machine; clusters bring their own."""
     builder = (

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from parcelpay.session import shuffles_freed
+
 # Months are told apart by these columns in every summary.
 MONTH_COLUMNS = ("pay_out_year", "pay_out_month")
 
@@ -16,7 +18,8 @@ def publish_summary(summary: DataFrame, path: str, mode: str = "overwrite") -> N
 
     Overwriting replaces the months that the summary has and leaves all others as they are.
     """
-    summary.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*MONTH_COLUMNS).parquet(path)
+    with shuffles_freed(summary.sparkSession):
+        summary.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*MONTH_COLUMNS).parquet(path)
 
 
 def read_summary(like: DataFrame, path: str) -> DataFrame:

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from parcelpay.session import shuffles_freed
 from parcelpay.sources.fixture_sql import SPARK, STAR_TABLES, needed, table_sql, with_clause
 from parcelpay.sources.schemas import SCHEMAS
 from parcelpay.sources.tables import ReportTables
@@ -42,7 +43,8 @@ def star_tables(spark: SparkSession, root: str, folder: str | None = None) -> Re
 
         def write(name: str) -> str:
             path = f"{own}/{name}"
-            derive(spark, root, name, ready).write.mode("overwrite").parquet(path)
+            with shuffles_freed(spark):
+                derive(spark, root, name, ready).write.mode("overwrite").parquet(path)
             return path
 
         def staged(name: str) -> DataFrame:

@@ -10,8 +10,9 @@ import numpy as np
 import pyarrow as pa
 
 from parcelpay.llm import line_dedup, ngram_join
-from parcelpay.llm.common import FREE_SHUFFLES, forget, written
+from parcelpay.llm.common import forget, written
 from parcelpay.llm.signatures import Bands, near, signatures, sketch
+from parcelpay.session import FREE_SHUFFLES
 from tests.conftest import SMALL
 
 
